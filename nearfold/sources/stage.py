@@ -1,0 +1,37 @@
+"""Materialised intermediate tables in the shared scratch folder."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """Folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
+
+    A local session without the setting gets a temporary folder of its own; on
+    a cluster a machine-local folder would be lost with the machine, so there
+    the setting is required.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    root = tempfile.mkdtemp(prefix="nearfold-")
+    spark.conf.set("spark.checkpoint.dir", root)
+    return root
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the scratch folder and return it as a table scan.
+
+    Later steps then read only the columns they need, know the size of what
+    they read, and a lost executor costs no repeated upstream work.
+    """
+    spark = df.sparkSession
+    path = f"{scratch_root(spark)}/nearfold-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,0 +1,5 @@
+"""No operator lives here.
+
+The job is a batch job. The column functions (normalisation, shingles,
+signatures) are row-wise and run unchanged on a streaming DataFrame.
+"""
