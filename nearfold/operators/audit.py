@@ -78,8 +78,8 @@ def dedup_audit(pairs: DataFrame, total_docs: int) -> DataFrame:
         F.lit(total_docs).cast("bigint").alias("total_docs"),
         "total_confirmed_pairs",
         F.col("having").alias("docs_with_at_least_one_duplicate"),
-        F.round(share, 2).alias("pct_docs_with_duplicate"),
-        F.round(F.coalesce("mean", F.lit(0.0)), 4).alias("mean_jaccard_among_pairs"),
+        F.bround(share, 2).alias("pct_docs_with_duplicate"),
+        F.bround(F.coalesce("mean", F.lit(0.0)), 4).alias("mean_jaccard_among_pairs"),
     )
 
 

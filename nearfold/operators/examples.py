@@ -29,7 +29,7 @@ def top_pairs(pairs: DataFrame, docs: DataFrame, n: int = 20, chars: int = 300)
         top = top.join(end, ["rank", f"doc_{side}"], "left")
     return top.select(
         "rank", "doc_a", "doc_b",
-        F.format_string("%.4f", "jaccard").alias("jaccard"),
+        F.format_string("%.4f", F.bround("jaccard", 4)).alias("jaccard"),
         F.coalesce("excerpt_a", F.lit(TEXT_MISSING)).alias("excerpt_a"),
         F.coalesce("excerpt_b", F.lit(TEXT_MISSING)).alias("excerpt_b"),
     )

@@ -69,9 +69,9 @@ def estimator_error(
     )
     return stats.select(
         "n",
-        F.round("mean", 6).alias("mean_absolute_error"),
-        F.round("deviation", 6).alias("std_error"),
-        F.round(error_bound(F.col("n")), 6).alias("theoretical_bound_1_over_sqrt_n"),
+        F.bround("mean", 6).alias("mean_absolute_error"),
+        F.bround("deviation", 6).alias("std_error"),
+        F.bround(error_bound(F.col("n")), 6).alias("theoretical_bound_1_over_sqrt_n"),
         "num_pairs",
     )
 
