@@ -15,12 +15,20 @@ from nearfold.operators.classes import (
     inner_pairs,
 )
 from nearfold.operators.tiling import pairs_within
-from nearfold.sources.stage import stage
+from nearfold.sources.scratch import stage
 
 
 def band_keys(signature: Column | str, bands: int, rows: int) -> Column:
     """``array<bigint>`` with a 64-bit hash of each band's slice of the signature."""
-    return F.array(*[F.xxhash64(F.slice(signature, j * rows + 1, rows)) for j in range(bands)])
+    # A lambda rather than one expression per band, so the code stays small at many bands.
+    starts = F.sequence(F.lit(1), F.lit((bands - 1) * rows + 1), F.lit(rows))
+    return F.transform(starts, lambda at: F.xxhash64(F.slice(signature, at, rows)))
+
+
+def shares_band(a: Column | str, b: Column | str, bands: int, rows: int) -> Column:
+    """Whether two signatures agree in all rows of at least one band."""
+    starts = F.sequence(F.lit(1), F.lit((bands - 1) * rows + 1), F.lit(rows))
+    return F.exists(starts, lambda at: F.slice(a, at, rows) == F.slice(b, at, rows))
 
 
 def require_bands(signatures: DataFrame, bands: int, rows: int) -> Column:

@@ -7,7 +7,7 @@ import random
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearfold.sources.stage import stage
+from nearfold.sources.scratch import stage
 
 
 def indexed_ids(docs: DataFrame) -> DataFrame:

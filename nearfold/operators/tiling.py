@@ -57,7 +57,11 @@ def _place(rows: DataFrame, id_col: str, tiles: Column) -> DataFrame:
 
 
 def _meet(placed: DataFrame, keys: Sequence[str], id_col: str, carry: Sequence[str]) -> DataFrame:
-    """Join the tiles. Both sides are the same plan, so they share one exchange."""
+    """Join the tiles. Both sides are the same plan, so they share one exchange.
+
+    The optimizer does not know how many rows an explode yields and would
+    broadcast by the size of the file beneath it; the hint rules that out.
+    """
     item = F.struct(F.col(id_col).alias("id"), *carry).alias("_item")
     side = placed.select(*keys, "_lo", "_hi", "_tile", item)
     x, y = side.alias("x"), side.alias("y")
@@ -66,7 +70,7 @@ def _meet(placed: DataFrame, keys: Sequence[str], id_col: str, carry: Sequence[s
     one_way = (F.col("x._tile") < F.col("y._tile")) | (
         (F.col("x._lo") == F.col("x._hi")) & (F.col("x._item.id") < F.col("y._item.id"))
     )
-    return x.join(y, [*same, one_way]).select(
+    return x.join(y.hint("merge"), [*same, one_way]).select(
         F.least("x._item", "y._item").alias("a"), F.greatest("x._item", "y._item").alias("b")
     )
 
@@ -77,7 +81,7 @@ def tiled_join(
     keys: Sequence[str],
     condition: Column,
     id_col: str,
-    hot: DataFrame,
+    hot: DataFrame | None = None,
     tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """Inner join of aliased ``l`` and ``r`` on ``keys`` where hot keys form a grid of tiles.
@@ -85,6 +89,9 @@ def tiled_join(
     ``hot`` lists the keys to split with their row counts ``_left`` and
     ``_right``; all other keys join as one tile.
     """
+    if hot is None:
+        same = [F.col(f"l.{key}") == F.col(f"r.{key}") for key in keys]
+        return left.alias("l").join(right.hint("merge").alias("r"), [*same, condition])
     grid = hot.select(
         *keys,
         tile_count(F.col("_left"), tile_rows).alias("_lefts"),
@@ -99,4 +106,4 @@ def tiled_join(
 
     placed_left, placed_right = dealt(left, "_left", "_right"), dealt(right, "_right", "_left")
     same = [F.col(f"l.{key}") == F.col(f"r.{key}") for key in (*keys, "_left", "_right")]
-    return placed_left.alias("l").join(placed_right.alias("r"), [*same, condition])
+    return placed_left.alias("l").join(placed_right.hint("merge").alias("r"), [*same, condition])

@@ -27,7 +27,7 @@ def attach_jaccard(pairs: DataFrame, sets: DataFrame, a: str = "doc_a", b: str =
         int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
     )
     empty = F.array().cast(sets.schema["shingles"].dataType)
-    both = pairs.repartition(tasks, a, b)
+    both = pairs.repartition(tasks, F.xxhash64(a, b))
     for end, held in ((a, "_set_a"), (b, "_set_b")):
         own = sets.select(F.col("doc_id").alias(end), F.col("shingles").alias(held))
         both = both.join(own, end, "left").withColumn(held, F.coalesce(held, empty))

@@ -21,7 +21,7 @@ from nearfold.operators.lsh import band_keys, class_candidates
 from nearfold.operators.shingling import shingle_sets
 from nearfold.operators.verify import attach_jaccard, referenced
 from nearfold.params import Params
-from nearfold.sources.stage import stage
+from nearfold.sources.scratch import stage
 
 CLASS_PAIR = ["rep_a", "rep_b", "docs_a", "docs_b"]
 
