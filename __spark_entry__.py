@@ -217,7 +217,7 @@ def q_corpus_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_run(spark: SparkSession, sf_dir: str) -> NearDuplicates:
-    return NearDuplicates(cleaned(spark, sf_dir), PARAMS)
+    return NearDuplicates(corpus(spark, sf_dir), PARAMS)
 
 
 def q_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,7 +77,7 @@ def main() -> None:
     truth = stage(exact_pairs(packed, params.threshold), "bench-truth")
 
     work: dict[str, Callable[[], None]] = {
-        "lsh_candidate_count": lambda: NearDuplicates(clean(docs), params).num_candidates(),
+        "lsh_candidate_count": lambda: NearDuplicates(docs, params).num_candidates(),
         "near_duplicates": lambda: materialise(near_duplicates(docs, params)),
         "corpus_audit": lambda: [materialise(df) for df in corpus_audit(docs, params)[:2]],
         "lsh_from_signatures_2000": lambda: materialise(

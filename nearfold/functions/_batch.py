@@ -24,46 +24,70 @@ MD5_SINES = tuple(int(abs(math.sin(i + 1)) * 2**32) for i in range(64))
 
 # One MD5 block holds at most this many message bytes beside its padding.
 ONE_BLOCK = 55
-SLICE = 1 << 14
-RUN_BYTES = 1 << 22
+# Elements handled at once, a power of two.
+SLICE = 1 << 15
+RUN_BYTES = 1 << 18
+# Above twice the largest error of a scaled hash: about SLICE * 2**31 from the
+# coefficient and less than 2 * SLICE from the constant and the position.
+BLUR = SLICE << 33
 
 
 def _md5_first_word(words: dict[int, np.ndarray], size: int) -> np.ndarray:
     """First digest word of one-block messages; absent words are zero."""
     a, b, c, d = (np.full(size, v, dtype=np.uint32) for v in MD5_START)
+    mix = np.empty_like(a)
     for step in range(64):
         turn = step // 16
         if turn == 0:
-            mix, word = d ^ (b & (c ^ d)), step
+            word = step
+            np.bitwise_xor(c, d, out=mix)
+            mix &= b
+            mix ^= d
         elif turn == 1:
-            mix, word = c ^ (d & (b ^ c)), (5 * step + 1) % 16
+            word = (5 * step + 1) % 16
+            np.bitwise_xor(b, c, out=mix)
+            mix &= d
+            mix ^= c
         elif turn == 2:
-            mix, word = b ^ c ^ d, (3 * step + 5) % 16
+            word = (3 * step + 5) % 16
+            np.bitwise_xor(b, c, out=mix)
+            mix ^= d
         else:
-            mix, word = c ^ (b | ~d), (7 * step) % 16
+            word = (7 * step) % 16
+            np.invert(d, out=mix)
+            mix |= b
+            mix ^= c
         mix += a
         mix += np.uint32(MD5_SINES[step])
         if word in words:
             mix += words[word]
         left = MD5_ROTATIONS[turn][step % 4]
-        turned = mix << np.uint32(left)
+        np.left_shift(mix, np.uint32(left), out=a)
         mix >>= np.uint32(32 - left)
-        turned |= mix
-        turned += b
-        a, d, c, b = d, c, b, turned
+        a |= mix
+        a += b
+        a, b, c, d = d, a, b, c
     return a + np.uint32(MD5_START[0])
 
 
 def _short_message_hashes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Shingle hashes of messages that fit one MD5 block each."""
+    shortest, longest = int(length.min()), int(length.max())
     words: dict[int, np.ndarray] = {14: (length * 8).astype(np.uint32)}
-    for pos in range(int(length.max()) + 1):
-        byte = data[np.minimum(start + pos, data.size - 1)].astype(np.uint32)
-        byte[length == pos] = 0x80
-        byte[length < pos] = 0
+    for pos in range(longest + 1):
+        if pos == longest == shortest:
+            byte = np.full(start.size, 0x80, dtype=np.uint32)
+        else:
+            byte = data.take(start + pos, mode="clip").astype(np.uint32)
+        if pos >= shortest != longest:
+            byte[length == pos] = 0x80
+            byte[length < pos] = 0
         byte <<= np.uint32(8 * (pos % 4))
         word = pos // 4
-        words[word] = words[word] | byte if word in words else byte
+        if word in words:
+            words[word] |= byte
+        else:
+            words[word] = byte
     return _md5_first_word(words, start.size) & np.uint32(SHINGLE_MASK)
 
 
@@ -133,36 +157,67 @@ def shingle_rows(data: np.ndarray, offsets: np.ndarray, k: int):
     return np.concatenate(lengths), np.concatenate(values)
 
 
+def exact_hash(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``(a*x + b) mod (2**61 - 1)`` for ``x < 2**31``, all as uint64.
+
+    With ``a = hi * 2**32 + lo`` every term below stays under 2**64, and
+    ``2**61 = 1`` modulo the prime folds ``hi * x * 2**32`` back.
+    """
+    prime = np.uint64(MERSENNE_61)
+    high = x * (a >> np.uint64(32))
+    low = x * (a & np.uint64(0xFFFFFFFF)) + b
+    low += high >> np.uint64(29)
+    low += (high & np.uint64((1 << 29) - 1)) << np.uint64(32)
+    low = (low & prime) + (low >> np.uint64(61))
+    return np.minimum(low, low - prime)  # the difference wraps unless low >= prime
+
+
 def minhash_rows(values: np.ndarray, lengths: np.ndarray, family: list[tuple[int, int]]) -> np.ndarray:
     """Signature matrix: row minima of ``(a*x + b) mod (2**61 - 1)``.
 
-    With ``a = hi * 2**32 + lo`` and ``x < 2**31`` every term below stays under
-    2**64: ``2**61 = 1`` modulo the prime folds ``hi * x * 2**32`` back.
+    Only the least value of a row is needed exactly. As a fraction of 2**64 a
+    hash is ``x*A + B`` in wrapping 64-bit arithmetic up to ``BLUR``, with A and
+    B the coefficients scaled by 2**64 over the prime and their low bits free to
+    hold the position of x: one minimum yields the place to evaluate exactly.
+    Where the two least are too close to tell, the whole row is evaluated.
     """
-    prime = np.uint64(MERSENNE_61)
-    out = np.full((lengths.size, len(family)), prime, dtype=np.uint64)
+    a = np.array([pair[0] for pair in family], dtype=np.uint64)
+    b = np.array([pair[1] for pair in family], dtype=np.uint64)
+    scaled_a = [np.uint64((c << 64) // MERSENNE_61 // SLICE * SLICE) for c, _ in family]
+    scaled_b = [
+        np.uint64(((c << 64) // MERSENNE_61 // SLICE * SLICE + BLUR // 2) % 2**64)
+        for _, c in family
+    ]
+    out = np.full((lengths.size, len(family)), MERSENNE_61, dtype=np.uint64)
     row = np.repeat(np.arange(lengths.size), lengths)
+    place = np.arange(SLICE, dtype=np.uint64)
+    last = np.uint64(2**64 - 1)
     for at in range(0, values.size, SLICE):
         x = values[at : at + SLICE].astype(np.uint64)
         rows = row[at : at + SLICE]
         cuts = np.append(0, np.flatnonzero(np.diff(rows)) + 1)
+        ends = np.append(cuts[1:], x.size)
+        least = np.empty((len(family), cuts.size), dtype=np.uint64)
+        second = np.empty_like(least)
+        near = np.empty_like(x)
+        for i in range(len(family)):
+            np.multiply(x, scaled_a[i], out=near)
+            near += scaled_b[i]
+            near |= place[: x.size]
+            np.minimum.reduceat(near, cuts, out=least[i])
+            near[least[i] & np.uint64(SLICE - 1)] = last
+            np.minimum.reduceat(near, cuts, out=second[i])
+        found = (least & np.uint64(SLICE - 1)).astype(np.int64)
+        exact = exact_hash(x[found], a[:, None], b[:, None])
+        # A value below BLUR may have wrapped around from the top.
+        unsure = (least < np.uint64(BLUR)) | (second - least <= np.uint64(BLUR))
+        unsure &= cuts + 1 < ends
+        i, part = np.nonzero(unsure)
+        if i.size:
+            sizes = ends[part] - cuts[part]
+            whole = np.concatenate([x[cuts[p] : ends[p]] for p in part])
+            each = exact_hash(whole, np.repeat(a[i], sizes), np.repeat(b[i], sizes))
+            exact[i, part] = np.minimum.reduceat(each, np.cumsum(sizes) - sizes)
         target = rows[cuts]
-        best = np.empty((len(family), cuts.size), dtype=np.uint64)
-        high, low, fold = np.empty_like(x), np.empty_like(x), np.empty_like(x)
-        for i, (a, b) in enumerate(family):
-            np.multiply(x, np.uint64(a >> 32), out=high)
-            np.multiply(x, np.uint64(a & 0xFFFFFFFF), out=low)
-            np.bitwise_and(high, np.uint64((1 << 29) - 1), out=fold)
-            fold <<= np.uint64(32)
-            high >>= np.uint64(29)
-            low += np.uint64(b)
-            low += high
-            low += fold
-            np.right_shift(low, np.uint64(61), out=high)
-            low &= prime
-            low += high
-            np.subtract(low, prime, out=high)  # wraps unless low >= prime
-            np.minimum(low, high, out=low)
-            np.minimum.reduceat(low, cuts, out=best[i])
-        out[target] = np.minimum(out[target], best.T)
+        out[target] = np.minimum(out[target], exact.T)
     return out.astype(np.int64)

@@ -10,12 +10,13 @@ pairs inside one class. Counts and averages follow from that form directly.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearfold.operators.tiling import TILE_ROWS, pairs_within, tile_count, tile_of
+from nearfold.operators.tiling import TILE_ROWS, pairs_of_sized, tile_count, tile_of
+from nearfold.sources.scratch import stage
 
 
 def digest128(value: Column | str) -> list[Column]:
@@ -36,9 +37,10 @@ def collapse(docs: DataFrame, key: Sequence[str], carry: Sequence[str] = ()) ->
 
 
 def class_members(docs: DataFrame, classes: DataFrame, key: Sequence[str]) -> DataFrame:
-    """``(rep, docs, doc_id)`` for the classes of two or more documents."""
+    """``(rep, docs, doc_id)`` for the classes of two or more documents, staged."""
     several = classes.where("docs >= 2").select(*key, "rep", "docs")
-    return docs.select("doc_id", *key).join(several, list(key)).select("rep", "docs", "doc_id")
+    members = docs.select("doc_id", *key).join(several, list(key))
+    return stage(members.select("rep", "docs", "doc_id"), "members")
 
 
 def inner_pairs(classes: DataFrame) -> DataFrame:
@@ -60,14 +62,14 @@ def pair_weight() -> Column:
 def expand_pairs(
     class_pairs: DataFrame,
     members: DataFrame,
-    inner: DataFrame | None = None,
     carry: Sequence[str] = (),
+    inside: Mapping[str, float] | None = None,
     tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """Document pairs ``(doc_a, doc_b, carry...)`` with ``doc_a < doc_b``.
 
-    ``class_pairs`` are between different classes. ``inner`` holds the literal
-    carry columns per ``rep`` of the classes whose inside pairs are wanted.
+    ``class_pairs`` are between different classes. If ``inside`` is given, the
+    pairs inside each class follow, with these values as their carry columns.
     Members of a large class are dealt into chunks and each chunk is a join key
     of its own, so no task gets a class whole.
     """
@@ -87,12 +89,10 @@ def expand_pairs(
     out = pairs.select(
         F.least("doc_a", "doc_b").alias("doc_a"), F.greatest("doc_a", "doc_b").alias("doc_b"), *carry
     )
-    if inner is None:
+    if inside is None:
         return out
-    rows = members.select("rep", "doc_id").join(inner, "rep")
-    inside = pairs_within(rows, ["rep"], carry=carry, tile_rows=tile_rows)
+    within = pairs_of_sized(members, ["rep"], "docs", tile_rows=tile_rows)
+    fixed = [F.lit(inside[c]).alias(c) for c in carry]
     return out.unionByName(
-        inside.select(
-            F.col("a.id").alias("doc_a"), F.col("b.id").alias("doc_b"), *[f"a.{c}" for c in carry]
-        )
+        within.select(F.col("a.id").alias("doc_a"), F.col("b.id").alias("doc_b"), *fixed)
     )

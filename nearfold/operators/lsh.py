@@ -7,13 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearfold.operators.classes import (
-    class_members,
-    collapse,
-    digest128,
-    expand_pairs,
-    inner_pairs,
-)
+from nearfold.operators.classes import class_members, collapse, digest128, expand_pairs
 from nearfold.operators.tiling import pairs_within
 from nearfold.sources.scratch import stage
 
@@ -80,5 +74,4 @@ def lsh_candidates(signatures: DataFrame, bands: int, rows: int) -> DataFrame:
     """
     sketches, classes = signature_classes(signatures, bands, rows)
     members = class_members(sketches, classes, ["h1", "h2"])
-    inner = inner_pairs(classes).select(F.col("rep_a").alias("rep"))
-    return expand_pairs(class_candidates(classes), members, inner)
+    return expand_pairs(class_candidates(classes), members, inside={})

@@ -36,10 +36,27 @@ def pairs_within(
 
     Group sizes are counted with map-side partial sums; groups of one row drop
     out before anything is paired. A pair comes once per group it shares.
+
+    ``rows`` usually come from an explode. The optimizer does not know how many
+    rows that yields and would broadcast by the size of the file beneath it, so
+    the joins are hinted to sort and merge; AQE splits their skewed partitions.
     """
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")).where("_size >= 2")
-    sized = rows.join(sizes, list(keys))
-    return _meet(_place(sized, id_col, tile_count(F.col("_size"), tile_rows)), keys, id_col, carry)
+    sized = rows.join(sizes.hint("merge"), list(keys))
+    return pairs_of_sized(sized, keys, "_size", id_col, carry, tile_rows)
+
+
+def pairs_of_sized(
+    rows: DataFrame,
+    keys: Sequence[str],
+    size_col: str,
+    id_col: str = "doc_id",
+    carry: Sequence[str] = (),
+    tile_rows: int = TILE_ROWS,
+) -> DataFrame:
+    """:func:`pairs_within` for rows that already carry the size of their group."""
+    placed = _place(rows, id_col, tile_count(F.col(size_col), tile_rows))
+    return _meet(placed, keys, id_col, carry)
 
 
 def all_pairs(rows: DataFrame, id_col: str = "doc_id", tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -57,11 +74,7 @@ def _place(rows: DataFrame, id_col: str, tiles: Column) -> DataFrame:
 
 
 def _meet(placed: DataFrame, keys: Sequence[str], id_col: str, carry: Sequence[str]) -> DataFrame:
-    """Join the tiles. Both sides are the same plan, so they share one exchange.
-
-    The optimizer does not know how many rows an explode yields and would
-    broadcast by the size of the file beneath it; the hint rules that out.
-    """
+    """Join the tiles. Both sides are the same plan, so they share one exchange."""
     item = F.struct(F.col(id_col).alias("id"), *carry).alias("_item")
     side = placed.select(*keys, "_lo", "_hi", "_tile", item)
     x, y = side.alias("x"), side.alias("y")

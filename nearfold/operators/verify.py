@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from nearfold.functions import jaccard_of_counts
 
+# Sets of up to this many elements in total (64 MB of INT) may be broadcast.
+BROADCAST_ELEMENTS = 1 << 24
+
 
 def referenced(rows: DataFrame, pairs: DataFrame, a: str, b: str, id_col: str = "doc_id") -> DataFrame:
     """Rows whose id occurs in ``pairs``; a filter ahead of shipping wide rows."""
@@ -14,22 +17,33 @@ def referenced(rows: DataFrame, pairs: DataFrame, a: str, b: str, id_col: str =
     return rows.join(ids, id_col, "left_semi")
 
 
-def attach_jaccard(pairs: DataFrame, sets: DataFrame, a: str = "doc_a", b: str = "doc_b") -> DataFrame:
+def attach_jaccard(
+    pairs: DataFrame,
+    sets: DataFrame,
+    a: str = "doc_a",
+    b: str = "doc_b",
+    elements: int | None = None,
+) -> DataFrame:
     """Add the column ``jaccard``. A document without a set counts as empty.
 
-    Spark picks the join: broadcast if the sets turn out small, else shuffles by
-    id, where AQE splits an id that occurs in very many pairs. Pairs are few
-    bytes but much work each, so they are dealt out by number beforehand lest
-    AQE merges them into a handful of tasks.
+    Sets are broadcast if ``elements``, the counted total of their elements, is
+    at most ``BROADCAST_ELEMENTS``. Otherwise both joins sort and merge by id,
+    where AQE splits an id that occurs in very many pairs; Spark's own size
+    estimate knows nothing of array lengths and is not relied on.
+
+    Pairs are few bytes but much work each, so they are dealt out by number
+    beforehand lest AQE merges them into a handful of tasks.
     """
     spark = pairs.sparkSession
     tasks = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
     )
+    small = elements is not None and elements <= BROADCAST_ELEMENTS
     empty = F.array().cast(sets.schema["shingles"].dataType)
     both = pairs.repartition(tasks, F.xxhash64(a, b))
     for end, held in ((a, "_set_a"), (b, "_set_b")):
         own = sets.select(F.col("doc_id").alias(end), F.col("shingles").alias(held))
+        own = own.hint("broadcast" if small else "merge")
         both = both.join(own, end, "left").withColumn(held, F.coalesce(held, empty))
     # Generated, so that a filter on the result does not repeat the intersection.
     common = F.explode(F.array(F.size(F.array_intersect("_set_a", "_set_b"))))
@@ -41,6 +55,11 @@ def attach_jaccard(pairs: DataFrame, sets: DataFrame, a: str = "doc_a", b: str =
     return sized.select(*pairs.columns, score.alias("jaccard"))
 
 
+def count_elements(sets: DataFrame) -> int:
+    """Total number of set elements, for stored sets."""
+    return sets.agg(F.coalesce(F.sum(F.size("shingles")), F.lit(0))).first()[0]
+
+
 def verify_candidates(candidates: DataFrame, sets: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``(doc_a, doc_b, jaccard)`` of the candidates with similarity of at least ``threshold``."""
     candidates = candidates.select("doc_a", "doc_b")

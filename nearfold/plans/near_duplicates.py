@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,13 +46,15 @@ class NearDuplicates:
     """
 
     docs: DataFrame
-    params: Params
+    params: Params = field(default_factory=Params)
+    normalize: bool = True
+    drop_empty: bool = False
 
     @cached_property
     def sketches(self) -> DataFrame:
         """``(doc_id, text_key, n_shingles, band_keys)`` of every document, staged."""
         p = self.params
-        keyed = self.docs.select(
+        keyed = clean(self.docs, self.normalize, self.drop_empty).select(
             "doc_id",
             F.unhex(F.sha2("text", 256)).alias("text_key"),
             text_sketch("text", p.k, p.num_hashes, p.seed).alias("sketch"),
@@ -70,7 +72,7 @@ class NearDuplicates:
 
     @cached_property
     def members(self) -> DataFrame:
-        """``(rep, docs, doc_id)`` of the texts that occur more than once."""
+        """``(rep, docs, doc_id)`` of the texts that occur more than once, staged."""
         return class_members(self.sketches, self.classes, ["text_key"])
 
     @cached_property
@@ -81,13 +83,24 @@ class NearDuplicates:
     @cached_property
     def class_pairs(self) -> DataFrame:
         """Confirmed pairs between distinct texts, in class form, staged."""
+        return stage(self._confirmed(), "class-pairs")
+
+    def _confirmed(self) -> DataFrame:
         # Jaccard cannot exceed the ratio of the set sizes.
         low, high = (f("n_shingles_a", "n_shingles_b") for f in (F.least, F.greatest))
         plausible = self.class_candidates.where(low >= high * (self.params.threshold - 1e-9))
+        sized = [
+            F.struct(F.col(f"rep_{end}").alias("rep"), F.col(f"n_shingles_{end}").alias("size"))
+            for end in ("a", "b")
+        ]
+        ends = plausible.select(F.inline(F.array(*sized))).distinct()
+        elements = ends.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
         plausible = plausible.select(*CLASS_PAIR)
-        texts = referenced(self.docs, plausible, "rep_a", "rep_b")
-        scored = attach_jaccard(plausible, shingle_sets(texts, self.params.k), "rep_a", "rep_b")
-        return stage(scored.where(F.col("jaccard") >= self.params.threshold), "class-pairs")
+        # The filter by id comes ahead of cleaning and shingling.
+        texts = clean(referenced(self.docs, plausible, "rep_a", "rep_b"), self.normalize)
+        sets = shingle_sets(texts, self.params.k)
+        scored = attach_jaccard(plausible, sets, "rep_a", "rep_b", elements)
+        return scored.where(F.col("jaccard") >= self.params.threshold)
 
     @property
     def inner(self) -> DataFrame:
@@ -104,16 +117,20 @@ class NearDuplicates:
     @property
     def candidates(self) -> DataFrame:
         """All candidate pairs ``(doc_a, doc_b)``."""
-        return expand_pairs(self.class_candidates, self.members, self._inner_reps())
+        return expand_pairs(self.class_candidates, self.members, inside={})
 
     @property
     def pairs(self) -> DataFrame:
         """All confirmed pairs ``(doc_a, doc_b, jaccard)``."""
-        inner = self.inner.select(F.col("rep_a").alias("rep"), "jaccard")
-        return expand_pairs(self.class_pairs, self.members, inner, ["jaccard"])
+        return self._expand(self.class_pairs)
+
+    def pairs_once(self) -> DataFrame:
+        """The same, for a run of which nothing else is asked: verified as it is read."""
+        return self._expand(self._confirmed())
 
-    def _inner_reps(self) -> DataFrame:
-        return inner_pairs(self.classes).select(F.col("rep_a").alias("rep"))
+    def _expand(self, confirmed: DataFrame) -> DataFrame:
+        inside = {"jaccard": 1.0} if self.params.threshold <= 1 else None
+        return expand_pairs(confirmed, self.members, ["jaccard"], inside)
 
     def num_candidates(self) -> int:
         between = self.class_candidates.select(*CLASS_PAIR)
@@ -134,7 +151,7 @@ def near_duplicates(
     drop_empty: bool = False,
 ) -> DataFrame:
     """``(doc_a, doc_b, jaccard)`` for documents that share a band and reach the threshold."""
-    return NearDuplicates(clean(docs, normalize, drop_empty), params or Params()).pairs
+    return NearDuplicates(docs, params or Params(), normalize, drop_empty).pairs_once()
 
 
 @dataclass
@@ -175,7 +192,7 @@ def run_near_duplicates(
 
     Shingling and MinHash are one pass and one phase, ``sketching``.
     """
-    run = NearDuplicates(clean(docs, normalize, drop_empty), params or Params())
+    run = NearDuplicates(docs, params or Params(), normalize, drop_empty)
     seconds: dict[str, float] = {}
     counts: dict[str, int] = {}
     phases = {

@@ -65,9 +65,8 @@ def scalability_counts(
     candidates, ``brute_force`` true pairs (prefixes up to ``exact_max_docs``).
     """
     params = params or Params()
-    cleaned = clean(docs)
-    cuts = [cut for cut in prefixes(cleaned, fractions) if cut[2] is not None]
-    sketches = NearDuplicates(cleaned, params).sketches
+    cuts = [cut for cut in prefixes(docs, fractions) if cut[2] is not None]
+    sketches = NearDuplicates(docs, params).sketches
     rows = [
         _labelled(count_candidates(sketches.where(F.col("doc_id") <= last)), n, fraction, "lsh")
         for fraction, n, last in cuts
@@ -75,7 +74,7 @@ def scalability_counts(
     small = [cut for cut in cuts if cut[1] <= exact_max_docs]
     if small:
         widest = max(last for _, _, last in small)
-        sets = shingle_sets(cleaned.where(F.col("doc_id") <= widest), params.k)
+        sets = shingle_sets(clean(docs.where(F.col("doc_id") <= widest)), params.k)
         truth = exact_pairs(sets, params.threshold)
         # A pair lies in a prefix if its larger id does: one pass counts them all.
         held = F.array(
@@ -101,14 +100,13 @@ def timed_scalability(
 ) -> DataFrame:
     """The same table with ``runtime_seconds``: every prefix starts again from its texts."""
     params = params or Params()
-    cleaned = clean(docs)
     out = []
-    for fraction, n, last in prefixes(cleaned, fractions):
-        prefix = cleaned.where(F.col("doc_id") <= last)
+    for fraction, n, last in prefixes(docs, fractions):
+        prefix = docs.where(F.col("doc_id") <= last)
         methods = {"lsh": lambda: count_candidates(NearDuplicates(prefix, params).sketches).first()[0]}
         if n <= exact_max_docs:
             methods["brute_force"] = lambda: exact_pairs(
-                shingle_sets(prefix, params.k), params.threshold
+                shingle_sets(clean(prefix), params.k), params.threshold
             ).count()
         for method, work in methods.items():
             begun = time.perf_counter()

@@ -21,7 +21,7 @@ from nearfold.operators import (
     top_pairs,
     verify_candidates,
 )
-from nearfold.operators.classes import class_members, collapse, expand_pairs, inner_pairs
+from nearfold.operators.classes import class_members, collapse, expand_pairs
 from nearfold.operators.tiling import all_pairs, pairs_within, tiled_join
 from tests import brute
 
@@ -192,9 +192,8 @@ def test_expand_pairs(spark, tile_rows):
     rows = [(*[reps[k][0] for k in ks], *[reps[k][1] for k in ks], 0.5) for ks in linked]
     schema = "rep_a bigint, rep_b bigint, docs_a bigint, docs_b bigint, jaccard double"
     between = spark.createDataFrame(rows, schema)
-    inner = inner_pairs(classes).select(F.col("rep_a").alias("rep"), F.lit(1.0).alias("jaccard"))
     members = class_members(df, classes, ["key"])
-    out = expand_pairs(between, members, inner, ["jaccard"], tile_rows)
+    out = expand_pairs(between, members, ["jaccard"], {"jaccard": 1.0}, tile_rows)
     want = {
         (i, j): 1.0 if keys[i] == keys[j] else 0.5
         for i, j in combinations(range(len(keys)), 2)

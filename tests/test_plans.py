@@ -71,7 +71,7 @@ def test_near_duplicates(docs, confirmed):
 
 
 def test_candidates_of_a_run(docs, candidates):
-    got = {(r.doc_a, r.doc_b) for r in NearDuplicates(clean(docs), PARAMS).candidates.collect()}
+    got = {(r.doc_a, r.doc_b) for r in NearDuplicates(docs, PARAMS).candidates.collect()}
     assert got == candidates
 
 
@@ -238,7 +238,7 @@ def test_third_of_corpus_is_one_text(spark, true_sets):
     rows = [(i, "one and the same text") for i in range(40)]
     rows += [(40 + i, f"different number {i * 7919} entirely {i * 104729}") for i in range(80)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    run = NearDuplicates(clean(df), PARAMS)
+    run = NearDuplicates(df, PARAMS)
     assert run.compact.where("docs_a = 40").count() == 1
     got = scores(run.pairs)
     assert {p for p in got if p[1] < 40} == set(combinations(range(40), 2))
