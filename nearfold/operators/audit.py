@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearfold.operators.classes import pair_weight
+from nearfold.operators.classes import every_chunk, member_chunks, pair_weight
 
 # Histogram bins and labels. The last label says 1.0, yet the bin
 # takes 1.0 in.
@@ -57,10 +57,10 @@ def doc_degrees(pairs: DataFrame, members: DataFrame | None = None) -> DataFrame
     degrees = class_degrees(pairs)
     if members is None:
         return degrees.select(F.col("rep").alias("doc_id"), "pairs")
-    listed = members.select("rep", "doc_id")
-    return degrees.join(listed, "rep", "left").select(
-        F.coalesce("doc_id", "rep").alias("doc_id"), "pairs"
-    )
+    single = degrees.where("docs = 1").select(F.col("rep").alias("doc_id"), "pairs")
+    several = degrees.where("docs > 1").select("rep", "pairs", every_chunk("docs").alias("chunk"))
+    listed = member_chunks(members).select("rep", "chunk", "doc_id")
+    return single.unionByName(several.join(listed, ["rep", "chunk"]).select("doc_id", "pairs"))
 
 
 def dedup_audit(pairs: DataFrame, total_docs: int) -> DataFrame:

@@ -37,12 +37,25 @@ def collapse(docs: DataFrame, key: Sequence[str], carry: Sequence[str] = ()) ->
 
 
 def class_members(docs: DataFrame, classes: DataFrame, key: Sequence[str]) -> DataFrame:
-    """``(rep, docs, doc_id)`` for the classes of two or more documents, staged."""
+    """``(rep, docs, doc_id)`` for the classes of two or more documents, staged.
+
+    Each document meets one row; AQE splits the partition of a large class.
+    """
     several = classes.where("docs >= 2").select(*key, "rep", "docs")
     members = docs.select("doc_id", *key).join(several, list(key))
     return stage(members.select("rep", "docs", "doc_id"), "members")
 
 
+def member_chunks(members: DataFrame, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """Members with the chunk of their class they belong to."""
+    return members.withColumn("chunk", tile_of("doc_id", tile_count(F.col("docs"), tile_rows)))
+
+
+def every_chunk(docs: str, tile_rows: int = TILE_ROWS) -> Column:
+    """Explodes a class of ``docs`` documents into its chunk numbers."""
+    return F.explode(F.sequence(F.lit(0), tile_count(F.col(docs), tile_rows) - 1))
+
+
 def inner_pairs(classes: DataFrame) -> DataFrame:
     """Class-form rows for the pairs inside each class."""
     several = classes.where("docs >= 2")
@@ -73,14 +86,13 @@ def expand_pairs(
     Members of a large class are dealt into chunks and each chunk is a join key
     of its own, so no task gets a class whole.
     """
-    chunked = members.withColumn("chunk", tile_of("doc_id", tile_count(F.col("docs"), tile_rows)))
+    chunked = member_chunks(members, tile_rows)
     pairs = class_pairs
     for side in ("a", "b"):
         rep, docs, doc = f"rep_{side}", f"docs_{side}", f"doc_{side}"
-        chunks = F.sequence(F.lit(0), tile_count(F.col(docs), tile_rows) - 1)
         listed = chunked.select(F.col("rep").alias(rep), "chunk", F.col("doc_id").alias(doc))
         pairs = (
-            pairs.withColumn("chunk", F.explode(chunks))
+            pairs.withColumn("chunk", every_chunk(docs, tile_rows))
             .join(listed, [rep, "chunk"], "left")
             .where((F.col(docs) == 1) | F.col(doc).isNotNull())
             .withColumn(doc, F.coalesce(doc, rep))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nearfold.functions import excerpt
+from nearfold.sources.scratch import stage
 
 # Fixed value: stands in for the text of an id the corpus lacks.
 TEXT_MISSING = "[text not found]"
@@ -19,7 +20,8 @@ def top_pairs(pairs: DataFrame, docs: DataFrame, n: int = 20, chars: int = 300)
     """
     order = [F.desc("jaccard"), F.asc("doc_a"), F.asc("doc_b")]
     top = pairs.orderBy(*order).limit(n)
-    top = top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    # Stored, as two joins read it and the pairs behind it may be much work.
+    top = stage(top.withColumn("rank", F.row_number().over(Window.orderBy(*order))), "top")
     ends = top.select("rank", F.explode(F.array("doc_a", "doc_b")).alias("doc_id")).distinct()
     # At most 2n rows.
     texts = docs.select("doc_id", "text").join(F.broadcast(ends), "doc_id")

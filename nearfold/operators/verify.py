@@ -31,16 +31,17 @@ def attach_jaccard(
     where AQE splits an id that occurs in very many pairs; Spark's own size
     estimate knows nothing of array lengths and is not relied on.
 
-    Pairs are few bytes but much work each, so they are dealt out by number
-    beforehand lest AQE merges them into a handful of tasks.
+    Beside a broadcast, pairs are few bytes but much work each; they are dealt
+    out by number first, lest AQE merges them into a handful of tasks.
     """
-    spark = pairs.sparkSession
-    tasks = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
-    )
     small = elements is not None and elements <= BROADCAST_ELEMENTS
+    both = pairs
+    if small:
+        spark = pairs.sparkSession
+        shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        tasks = max(shuffled, spark.sparkContext.defaultParallelism)
+        both = pairs.repartition(tasks, F.xxhash64(a, b))
     empty = F.array().cast(sets.schema["shingles"].dataType)
-    both = pairs.repartition(tasks, F.xxhash64(a, b))
     for end, held in ((a, "_set_a"), (b, "_set_b")):
         own = sets.select(F.col("doc_id").alias(end), F.col("shingles").alias(held))
         own = own.hint("broadcast" if small else "merge")
