@@ -48,11 +48,12 @@ def class_candidates(classes: DataFrame, carry: Sequence[str] = ()) -> DataFrame
     """
     carry = ["docs", *carry]
     rows = classes.select("rep", *carry, F.posexplode("band_keys").alias("band", "bucket"))
-    pairs = pairs_within(rows, ["band", "bucket"], id_col="rep", carry=carry).distinct()
-    return pairs.select(
+    pairs = pairs_within(rows, ["band", "bucket"], id_col="rep", carry=carry)
+    flat = pairs.select(
         F.col("a.id").alias("rep_a"), F.col("b.id").alias("rep_b"),
         *[F.col(f"{side}.{c}").alias(f"{c}_{side}") for c in carry for side in ("a", "b")],
     )
+    return flat.distinct()
 
 
 def signature_classes(signatures: DataFrame, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:

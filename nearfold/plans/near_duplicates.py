@@ -83,12 +83,15 @@ class NearDuplicates:
     @cached_property
     def class_pairs(self) -> DataFrame:
         """Confirmed pairs between distinct texts, in class form, staged."""
-        return stage(self._confirmed(), "class-pairs")
+        return stage(self._confirm(self._plausible(self.class_candidates)), "class-pairs")
 
-    def _confirmed(self) -> DataFrame:
-        # Jaccard cannot exceed the ratio of the set sizes.
+    def _plausible(self, candidates: DataFrame) -> DataFrame:
+        """Jaccard cannot exceed the ratio of the set sizes."""
         low, high = (f("n_shingles_a", "n_shingles_b") for f in (F.least, F.greatest))
-        plausible = self.class_candidates.where(low >= high * (self.params.threshold - 1e-9))
+        return candidates.where(low >= high * (self.params.threshold - 1e-9))
+
+    def _confirm(self, plausible: DataFrame) -> DataFrame:
+        """Candidates of a stored table whose exact similarity reaches the threshold."""
         sized = [
             F.struct(F.col(f"rep_{end}").alias("rep"), F.col(f"n_shingles_{end}").alias("size"))
             for end in ("a", "b")
@@ -125,8 +128,13 @@ class NearDuplicates:
         return self._expand(self.class_pairs)
 
     def pairs_once(self) -> DataFrame:
-        """The same, for a run of which nothing else is asked: verified as it is read."""
-        return self._expand(self._confirmed())
+        """The same, for a run of which nothing else is asked.
+
+        Pairs too different in size are left out by the join of the buckets
+        itself, and pairs are verified as they are read.
+        """
+        candidates = class_candidates(self.classes, ["n_shingles"])
+        return self._expand(self._confirm(stage(self._plausible(candidates), "plausible")))
 
     def _expand(self, confirmed: DataFrame) -> DataFrame:
         inside = {"jaccard": 1.0} if self.params.threshold <= 1 else None
