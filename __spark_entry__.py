@@ -55,6 +55,12 @@ from nearfold.plans.scalability import FRACTIONS  # noqa: E402
 from nearfold.plans.sweep import BAND_CONFIGS  # noqa: E402
 from nearfold.sources import corpus_prefix, load_corpus, spread, stage  # noqa: E402
 
+try:  # the operators for training data are optional: everything else works without them
+    import corpus_pipeline
+    from nearfold.llm import queries as llm
+except ImportError:
+    llm = None
+
 K = 5
 SEED = 42
 THRESHOLD = 0.5
@@ -257,6 +263,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    own = library_queries()
+    return own if llm is None else own | llm.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "normalize_text": q_normalize_text,
         "excerpt": q_excerpt,
@@ -496,6 +507,11 @@ FROM bins LEFT JOIN pairs ON jaccard >= lo AND jaccard < hi GROUP BY bin, lo, hi
 
 
 def oracle_sql() -> dict[str, str]:
+    own = library_sql()
+    return own if llm is None else own | llm.oracle_sql()
+
+
+def library_sql() -> dict[str, str]:
     configs = ", ".join(f"({b}, {r})" for b, r in BAND_CONFIGS)
     return {
         "normalize_text": f"WITH {NORM} SELECT doc_id, t AS normalized FROM norm",

@@ -3,7 +3,7 @@ import pytest
 
 import __spark_entry__ as contract
 
-NAMES = sorted(contract.queries())
+NAMES = sorted(contract.library_queries())
 
 
 @pytest.fixture(scope="module")
@@ -19,13 +19,13 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert NAMES == sorted(contract.oracle_sql())
+    assert NAMES == sorted(contract.library_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_equals_sql(spark, con, sf_small, name):
-    got = contract.queries()[name](spark, sf_small).toArrow()
-    want = con.sql(contract.oracle_sql()[name]).to_arrow_table()
+    got = contract.library_queries()[name](spark, sf_small).toArrow()
+    want = con.sql(contract.library_sql()[name]).to_arrow_table()
     columns = sorted(got.column_names)
     assert columns == sorted(want.column_names)
     order = [(c, "ascending") for c in columns]
