@@ -29,6 +29,12 @@ def whole(text_col: str = "text") -> Column:
     return F.coalesce(F.col(text_col), F.lit(""))
 
 
+def woven(pieces: Column, matches: Column) -> Column:
+    """Text made of the pieces between matches and what stands for the matches."""
+    parts = F.zip_with(pieces, matches, lambda p, m: F.array(p, F.coalesce(m, F.lit(""))))
+    return F.array_join(F.flatten(parts), "")
+
+
 def sized_hint(df: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
     """``df`` hinted to broadcast if its counted rows stay under ``limit``, else to merge.
 

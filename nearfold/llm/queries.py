@@ -4,13 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearfold.llm.common import read_table
+from nearfold.llm.common import id_crc, read_table
+from nearfold.llm.decontam import leaks
+from nearfold.llm.langid import fit_dictionaries, identify
 from nearfold.llm.packing import pack_documents
+from nearfold.llm.pii import KINDS as PII_KINDS
+from nearfold.llm.pii import pseudonymize
+from nearfold.llm.secrets import PATTERNS as SECRET_PATTERNS
+from nearfold.llm.secrets import scan_secrets, spans_text
 from nearfold.llm.sharding import bounded_shards
 from nearfold.llm.simhash import simhash_components
+from nearfold.llm.warc import archive_pages, page_rows
+
+
+def op1_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = id_crc() % 4 == 2
+    dictionaries = fit_dictionaries(docs.where(~held_out))
+    found = identify(docs.select("doc_id", "text"), dictionaries)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
 def op2_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +35,14 @@ def op2_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "moved")
 
 
+def op4_salvaged_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_rows(archive_pages(read_table(spark, sf_dir, "pages")))
+
+
+def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op6_variable_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"))
 
@@ -31,11 +54,34 @@ def op7_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_owned_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(read_table(spark, sf_dir, "documents"))
+
+    def of(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("found", lambda s: s["kind"] != "live")
+    return found.select(
+        "doc_id", *[of(kind).alias(f"n_{kind}") for kind in SECRET_PATTERNS],
+        F.sha2(spans_text(base), 256).alias("base_sha256"), spans_text(F.col("found")).alias("spans"),
+        of("live").alias("n_live"),
+    )
+
+
+def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymize(docs).select(
+        "doc_id", "text", *[F.col(f"pii.{kind}").alias(f"n_{kind}") for kind in PII_KINDS]
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "op2_bounded_ring": op2_bounded_ring,
-        "op6_variable_packing": op6_variable_packing,
-        "op7_simhash_ball": op7_simhash_ball,
+        f.__name__: f
+        for f in (
+            op1_compression_language, op2_bounded_ring, op4_salvaged_archive, op5_spaced_seeds,
+            op6_variable_packing, op7_simhash_ball, op8_owned_secrets, op10_feistel_pseudonyms,
+        )
     }
 
 
