@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nearfold.llm.ann import nearest
 from nearfold.llm.common import id_crc, read_table
 from nearfold.llm.decontam import leaks
 from nearfold.llm.langid import fit_dictionaries, identify
+from nearfold.llm.lm import score_documents
 from nearfold.llm.packing import pack_documents
 from nearfold.llm.pii import KINDS as PII_KINDS
 from nearfold.llm.pii import pseudonymize
@@ -35,6 +37,10 @@ def op2_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "moved")
 
 
+def op3_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_salvaged_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_rows(archive_pages(read_table(spark, sf_dir, "pages")))
 
@@ -68,6 +74,14 @@ def op8_owned_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_crc() % 10 == 0
+    scored = score_documents(read_table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudonymize(docs).select(
@@ -79,8 +93,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
-            op1_compression_language, op2_bounded_ring, op4_salvaged_archive, op5_spaced_seeds,
-            op6_variable_packing, op7_simhash_ball, op8_owned_secrets, op10_feistel_pseudonyms,
+            op1_compression_language, op2_bounded_ring, op3_permutation_index, op4_salvaged_archive,
+            op5_spaced_seeds, op6_variable_packing, op7_simhash_ball, op8_owned_secrets,
+            op9_backoff_automaton, op10_feistel_pseudonyms,
         )
     }
 
