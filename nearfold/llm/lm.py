@@ -47,7 +47,7 @@ from nearfold.sources.scratch import stage
 
 ORDER = 2
 ADDED = 0.1
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 1_200_000
 PART_KEYS = 1 << 19
 #: Failure weights that are tried, and size classes of histories.
 GRID = np.array([0.005, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.98, 0.995, 0.999])
@@ -103,8 +103,8 @@ class Block:
         hashes = words[tokens]
         begins = np.cumsum(lengths) - lengths
         #: Place of each token in its segment, and of the segment in the block.
-        self.at = np.arange(len(tokens)) - np.repeat(begins, lengths)
-        self.segment = np.repeat(np.arange(len(lengths)), lengths)
+        self.at = np.arange(len(tokens), dtype=np.int32) - np.repeat(begins.astype(np.int32), lengths)
+        self.segment = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         self.counted = self.at >= np.repeat(context, lengths)
         self.trained = self.counted & np.repeat(trains, lengths)
         keys, rolling = [], hashes
@@ -112,10 +112,11 @@ class Block:
         for n in range(1, order + 1):
             if n > 1:
                 rolling = np.concatenate((rolling[:1], _mixed(rolling[:-1]) + hashes[1:]))
-            place = np.flatnonzero(self.at >= n - 1)
+            place = np.flatnonzero(self.at >= n - 1).astype(np.int32)
             keys.append((_mixed(rolling[place] + np.uint64(n)) & ~np.uint64(3)) | np.uint64(n & 3))
             self.where.append(place)
-        self.keys, self.inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        self.keys, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        self.inverse = inverse.astype(np.int32)
 
     def training_counts(self) -> np.ndarray:
         return np.bincount(
@@ -126,7 +127,7 @@ class Block:
         """Counts of the n-gram that ends at each token, by order; 0 where there is none."""
         out, used = [], 0
         for place in self.where:
-            here = np.zeros(len(self.at), np.int64)
+            here = np.zeros(len(self.at), counts.dtype)
             here[place] = counts[self.inverse[used : used + len(place)]]
             used += len(place)
             out.append(here)
