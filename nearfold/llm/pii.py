@@ -263,7 +263,10 @@ def pseudonym(value: Column, key: str = KEY) -> Column:
 def pseudonymize(
     docs: DataFrame, key: str = KEY, text_col: str = "text", found_col: str = "pii"
 ) -> DataFrame:
-    """``docs`` with pseudonyms in the text and the number of values of each kind in ``found_col``."""
+    """``docs`` with pseudonyms in the text and the number of values of each kind in ``found_col``.
+
+    A column that has the name ``found_col`` already is replaced.
+    """
     text = F.col(text_col)
     likely = text.rlike(HINT) & text.rlike(ANY)
     replaced = F.transform(
@@ -271,11 +274,17 @@ def pseudonymize(
         lambda m: F.struct(kind_of(m).alias("kind"), m.alias("old"), pseudonym(m, key).alias("new")),
     )
     none = F.array().cast("array<struct<kind:string,old:string,new:string>>")
-    out = docs.withColumn("_replaced", F.when(likely, replaced).otherwise(none))
+    # The row travels as one struct, so that no column of it can clash with ours.
+    out = docs.select(
+        F.struct("*").alias("_doc"), text.alias("_text"), F.when(likely, replaced).otherwise(none).alias("_replaced")
+    )
     count = lambda k: F.size(
         F.filter("_replaced", lambda r: (r["kind"] == k) & r["new"].isNotNull())
     )
-    new = woven(F.split(text, ANY, -1), F.transform("_replaced", lambda r: F.coalesce(r["new"], r["old"])))
-    return out.withColumn(text_col, F.when(F.size("_replaced") > 0, new).otherwise(text)).withColumn(
-        found_col, F.struct(*[count(k).alias(k) for k in KINDS])
-    ).drop("_replaced")
+    new = woven(F.split("_text", ANY, -1), F.transform("_replaced", lambda r: F.coalesce(r["new"], r["old"])))
+    text = F.when(F.size("_replaced") > 0, new).otherwise(F.col("_text"))
+    kept = [c for c in docs.columns if c != found_col]
+    return out.select(
+        *[(text if c == text_col else F.col(f"_doc.`{c}`")).alias(c) for c in kept],
+        F.struct(*[count(k).alias(k) for k in KINDS]).alias(found_col),
+    )

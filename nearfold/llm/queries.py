@@ -100,5 +100,51 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+ARCHIVE_SQL = """WITH sized AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest FROM pages),
+grouped AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS largest FROM sized)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> largest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> largest THEN largest END AS refers_to
+FROM grouped"""
+
+
+def secrets_sql() -> str:
+    """The same spans from positions in the lists of matches and of the text between them."""
+    matched = " UNION ALL ".join(
+        f"""SELECT r, source, '{kind}' AS kind, {rank} AS rank, {least} AS least,
+  regexp_extract_all(t, $p${pattern}$p$, 0) AS ms, regexp_extract_all(t, $p${pattern}$p$, {group}) AS vs,
+  string_split_regex(t, $p${pattern}$p$) AS ps FROM texts WHERE regexp_matches(t, $p${pattern}$p$)"""
+        for rank, (kind, (pattern, group, least)) in enumerate(SECRET_PATTERNS.items())
+    )
+    return f"""WITH texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, source FROM documents),
+matched AS ({matched}),
+places AS (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM matched),
+spans AS MATERIALIZED (
+  SELECT r, source, kind, rank, vs[i] AS v,
+         (list_sum(list_transform(ps[1:i], lambda x: length(x)))
+          + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))::BIGINT AS s,
+         length(ms[i]) AS n
+  FROM places WHERE length(vs[i]) >= least),
+owners AS (SELECT v, count(DISTINCT coalesce(source, chr(0))) AS owners FROM spans GROUP BY v),
+live AS (
+  SELECT DISTINCT r, 'live' AS kind, 3 AS rank, s + n - length(v) AS s, s + n AS e
+  FROM spans JOIN owners USING (v)
+  WHERE owners <= 2 AND len(list_distinct(string_split(v, ''))) >= 6),
+found AS (SELECT r, kind, rank, s, s + n AS e FROM spans UNION ALL SELECT * FROM live),
+listed AS (
+  SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (kind = 'live') AS n_live,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (kind <> 'live') AS base,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans
+  FROM found GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live
+FROM texts LEFT JOIN listed USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_salvaged_archive": ARCHIVE_SQL, "op8_owned_secrets": secrets_sql()}

@@ -188,17 +188,18 @@ def redact_secrets(
     hashes = live.join(rows.hint("merge"), "_row").where("_id is not null")
     hashes = hashes.groupBy(F.col("_id").alias("_secret_id")).agg(F.collect_set("value_hash").alias("_live"))
     hashes = stage(hashes, "secret-live")
-    joined = docs.join(sized_hint(hashes), F.col(id_col) == F.col("_secret_id"), "left")
+    # The row travels as one struct, so that no column of it can clash with ours.
+    joined = docs.select(F.struct("*").alias("_doc"), F.col(text_col).alias("_text")).join(
+        sized_hint(hashes), F.col(f"_doc.{id_col}") == F.col("_secret_id"), "left"
+    )
     touched = F.col("_live").isNotNull()
     for pattern, group, _ in PATTERNS.values():
-        hidden = touched & F.col(text_col).rlike(pattern)
+        hidden = touched & F.col("_text").rlike(pattern)
         joined = joined.withColumn(
-            text_col, F.when(hidden, _hide(F.col(text_col), pattern, group, mark)).otherwise(F.col(text_col))
+            "_text", F.when(hidden, _hide(F.col("_text"), pattern, group, mark)).otherwise(F.col("_text"))
         )
+    changed = {text_col: F.col("_text")}
     if length_col and length_col in docs.columns:
-        joined = joined.withColumn(
-            length_col,
-            F.when(touched, F.length(text_col).cast(docs.schema[length_col].dataType))
-            .otherwise(F.col(length_col)),
-        )
-    return joined.select(*docs.columns)
+        length = F.length("_text").cast(docs.schema[length_col].dataType)
+        changed[length_col] = F.when(touched, length).otherwise(F.col(f"_doc.{length_col}"))
+    return joined.select(*[changed.get(c, F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns])

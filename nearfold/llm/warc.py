@@ -10,8 +10,9 @@ shuffled unless more than ``BROADCAST_IDS`` pages are revisits.
 The reader takes whole files (plain, or gzip with one member a record), checks
 every record (version line, header lines, length, the blank lines behind the
 block, block and payload digest) and after a failed check searches for the next
-place where a record can begin: a gzip member that inflates, or a version line at
-the start of a line whose record passes. What it skips is reported as a gap with
+place where a record can begin: a gzip member that inflates, or a version line
+(not only at the start of a line, as the record before may be cut) whose record
+passes. What it skips is reported as a gap with
 its byte range and cause; later records are recovered. A file is one row for
 Spark and must be under 2 GB.
 
@@ -40,7 +41,7 @@ MIN_REVISIT = 1000
 FILE_BYTES = 8 << 20
 END = "\r\n\r\n"
 VERSION = b"WARC/1."
-_VERSION_LINE = re.compile(rb"(?:^|(?<=\n))WARC/1\.[01]\r\n")
+_VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 _MEMBER = b"\x1f\x8b\x08"
 _HEADER = re.compile(r"[!#$%&'*+.^_`|~0-9A-Za-z-]+:.*", re.S)
 MAX_HEADER_BYTES = 1 << 16
