@@ -2,27 +2,37 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Masters whose driver and tasks share one machine and one process.
+ONE_PROCESS = re.compile(r"local(\[.*\])?")
+
+
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="nearfold-")
+
 
 def scratch_root(spark: SparkSession) -> str:
     """Folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
-    A local session without the setting gets a temporary folder of its own; on
-    a cluster a machine-local folder would be lost with the machine, so there
-    the setting is required.
+    A session in one process (``local``, ``local[n]``) without the setting gets a
+    temporary folder of its own, and its settings stay as they are. Elsewhere a
+    machine-local folder would be lost with the machine, so there the setting is
+    required; that a ``file:`` folder is shared (a network mount) only the user
+    can know.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not ONE_PROCESS.fullmatch(spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="nearfold-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _own_folder()
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -35,3 +45,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_root(spark)}/nearfold-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove the files of staged ``tables``. Nothing that reads them may run any more."""
+    for table in tables:
+        spark = table.sparkSession
+        root = scratch_root(spark)
+        folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
+        for folder in folders:
+            if "/nearfold-" in folder and root.split(":", 1)[-1].lstrip("/") in folder:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
