@@ -43,11 +43,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearfold.llm.common import whole
-from nearfold.sources.scratch import stage
+from nearfold.sources.scratch import release, stage
 
 ORDER = 2
 ADDED = 0.1
-BLOCK_TOKENS = 1_200_000
+BLOCK_TOKENS = 600_000
 PART_KEYS = 1 << 19
 #: Failure weights that are tried, and size classes of histories.
 GRID = np.array([0.005, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.98, 0.995, 0.999])
@@ -278,8 +278,9 @@ def counted_blocks(
     gathered = answered.groupBy("block").agg(
         F.array_sort(F.collect_list(F.struct("part", "n", "counts"))).alias("answers")
     )
-    joined = blocks.join(gathered.hint("merge"), "block")
-    return stage(joined, "lm-counted"), size[1] or 0, vocabulary
+    joined = stage(blocks.join(gathered.hint("merge"), "block"), "lm-counted")
+    release(blocks, answered)
+    return joined, size[1] or 0, vocabulary
 
 
 def _counts(batch: pa.RecordBatch, i: int, block: Block) -> list[np.ndarray]:
@@ -311,6 +312,7 @@ def failure_weights(blocks: DataFrame, total: int, vocabulary: int, order: int)
                         p = arc_weights(counts, block.at, total, vocabulary, lower, n - 1)[use]
                     share = (counts[n - 1][use] - 1) / (history[use] - 1)
                     size_class = _classes(history[use])
+                    del block, counts, history, left_out, use
                     for g, w in enumerate(GRID):
                         sums[:, g] += np.bincount(size_class, np.log((1 - w) * share + w * p), CLASSES)
             yield pa.RecordBatch.from_pydict({"size_class": np.arange(CLASSES), "sums": list(sums)})
