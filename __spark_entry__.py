@@ -8,6 +8,7 @@ signature slices as join keys) and therefore checks more than the wiring.
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -37,6 +38,7 @@ from nearfold.operators import (  # noqa: E402
     sample_pairs,
     shingle_sets,
     shingle_table,
+    top_class_pairs,
     top_pairs,
     verify_candidates,
 )
@@ -44,16 +46,27 @@ from nearfold.operators.verify import attach_jaccard, referenced  # noqa: E402
 from nearfold.params import Params  # noqa: E402
 from nearfold.plans import (  # noqa: E402
     NearDuplicates,
+    audit_report,
     clean,
+    corpus_audit,
     estimator_error,
     near_duplicates,
     param_sweep,
     scalability_counts,
 )
+from nearfold.plans.estimator import SIGNATURE_LENGTHS  # noqa: E402
 from nearfold.plans.reports import example_lines  # noqa: E402
 from nearfold.plans.scalability import FRACTIONS  # noqa: E402
 from nearfold.plans.sweep import BAND_CONFIGS  # noqa: E402
-from nearfold.sources import corpus_prefix, load_corpus, spread, stage  # noqa: E402
+from nearfold.sources import (  # noqa: E402
+    corpus_prefix,
+    load_corpus,
+    read_csv,
+    scratch_root,
+    spread,
+    stage,
+    write_csv,
+)
 
 try:  # the operators for training data are optional: everything else works without them
     import corpus_pipeline
@@ -66,7 +79,7 @@ SEED = 42
 THRESHOLD = 0.5
 PARAMS = Params(k=K, num_hashes=64, bands=16, rows=4, threshold=THRESHOLD, seed=SEED)
 SWEEP_HASHES = 128
-LENGTHS = (32, 64, 128)
+LENGTHS = SIGNATURE_LENGTHS
 
 
 # --------------------------------------------------------------------------
@@ -245,15 +258,31 @@ def q_jaccard_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("pct", F.round("pct", 6))
 
 
+def best_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = near_run(spark, sf_dir)
+    return top_pairs(top_class_pairs(run.compact, run.members), run.docs)
+
+
+def q_audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's lines but for the seconds."""
+    report = audit_report(*corpus_audit(corpus(spark, sf_dir), PARAMS)).where("section <> 'seconds'")
+    return report.withColumn("position", F.col("position").cast("bigint"))
+
+
+def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sweep's rows written as CSV and read under their schema."""
+    path = f"{scratch_root(spark)}/nearfold-csv-{uuid.uuid4().hex}"
+    swept = q_param_sweep(spark, sf_dir)
+    write_csv(swept, path)
+    return read_csv(spark, path, swept.schema)
+
+
 def q_top_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = corpus(spark, sf_dir)
-    top = top_pairs(near_duplicates(docs, PARAMS), docs)
-    return top.withColumn("rank", F.col("rank").cast("bigint"))
+    return best_pairs(spark, sf_dir).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def q_example_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = corpus(spark, sf_dir)
-    lines = example_lines(top_pairs(near_duplicates(docs, PARAMS), docs))
+    lines = example_lines(best_pairs(spark, sf_dir))
     return lines.select(F.col("position").cast("bigint").alias("position"), "line")
 
 
@@ -296,6 +325,8 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "jaccard_histogram": q_jaccard_histogram,
         "top_pairs": q_top_pairs,
         "example_lines": q_example_lines,
+        "audit_report": q_audit_report,
+        "csv_round_trip": q_csv_round_trip,
     }
 
 
@@ -378,13 +409,17 @@ truth AS MATERIALIZED (
   WHERE c / (na.n + nb.n - c) >= {THRESHOLD})"""
 
 
-def sql_quality(hits: str, found: str, true: str, digits: int, rounding: str) -> str:
+def sql_round(value: str, digits: int) -> str:
+    """Rounds the exact binary value, as printf does."""
+    return f"CAST(printf('%.{digits}f', ({value})::DOUBLE) AS DOUBLE)"
+
+
+def sql_quality(hits: str, found: str, true: str, rounded: Callable[[str], str]) -> str:
     p = f"(CASE WHEN {found} = 0 THEN 0.0::DOUBLE ELSE {hits} / {found} END)"
     r = f"(CASE WHEN {true} = 0 THEN 0.0::DOUBLE ELSE {hits} / {true} END)"
     f1 = f"(CASE WHEN {p} + {r} = 0 THEN 0.0::DOUBLE ELSE 2 * {p} * {r} / ({p} + {r}) END)"
     return ", ".join(
-        f"{rounding}(CASE WHEN {found} = 0 AND {true} = 0 THEN 1.0::DOUBLE ELSE {value} END,"
-        f" {digits}) AS {name}"
+        rounded(f"CASE WHEN {found} = 0 AND {true} = 0 THEN 1.0::DOUBLE ELSE {value} END") + f" AS {name}"
         for name, value in (("precision", p), ("recall", r), ("f1", f1))
     )
 
@@ -409,7 +444,7 @@ counted AS (
   GROUP BY configs.b, configs.r)
 SELECT b::BIGINT AS b, r::BIGINT AS r, {THRESHOLD}::DOUBLE AS threshold,
        found AS num_candidates, true_pairs AS num_ground_truth,
-       {sql_quality("hits", "found", "true_pairs", 4, "round_even")}
+       {sql_quality("hits", "found", "true_pairs", lambda value: sql_round(value, 4))}
 FROM counted"""
 
 
@@ -426,7 +461,7 @@ SELECT n AS num_docs, fraction, 'lsh' AS method,
        (SELECT count(*) FROM candidates WHERE doc_b <= last) AS num_pairs_found FROM cuts
 UNION ALL
 SELECT n, fraction, 'brute_force', (SELECT count(*) FROM truth WHERE doc_b <= last)
-FROM cuts WHERE n <= 5000"""
+FROM cuts"""
 
 
 def sql_draws() -> str:
@@ -459,9 +494,9 @@ errors AS (
   FROM draws d
   JOIN scored s ON s.doc_a = d.doc_a AND s.doc_b = d.doc_b
   JOIN agreeing g ON g.doc_a = d.doc_a AND g.doc_b = d.doc_b)
-SELECT n::BIGINT AS n, round_even(avg(e), 6) AS mean_absolute_error,
-       round_even(stddev_pop(e), 6) AS std_error,
-       round_even(1 / sqrt(n), 6) AS theoretical_bound_1_over_sqrt_n, count(*) AS num_pairs
+SELECT n::BIGINT AS n, {sql_round("avg(e)", 6)} AS mean_absolute_error,
+       {sql_round("stddev_pop(e)", 6)} AS std_error,
+       {sql_round("1 / sqrt(n)", 6)} AS theoretical_bound_1_over_sqrt_n, count(*) AS num_pairs
 FROM errors GROUP BY n"""
 
 
@@ -490,9 +525,9 @@ degrees AS (SELECT unnest([doc_a, doc_b]) AS doc_id FROM pairs)
 SELECT (SELECT count(*) FROM documents) AS total_docs,
        (SELECT count(*) FROM pairs) AS total_confirmed_pairs,
        count(DISTINCT doc_id) AS docs_with_at_least_one_duplicate,
-       round_even(100.0::DOUBLE * count(DISTINCT doc_id) / (SELECT count(*) FROM documents), 2)
+       {sql_round("100.0::DOUBLE * count(DISTINCT doc_id) / (SELECT count(*) FROM documents)", 2)}
          AS pct_docs_with_duplicate,
-       round_even(coalesce((SELECT avg(jaccard) FROM pairs), 0), 4) AS mean_jaccard_among_pairs
+       {sql_round("coalesce((SELECT avg(jaccard) FROM pairs), 0)", 4)} AS mean_jaccard_among_pairs
 FROM degrees"""
 
 HISTOGRAM = f"""WITH {NEAR},
@@ -506,6 +541,32 @@ SELECT bin, lo, hi, count(jaccard) AS pairs,
 FROM bins LEFT JOIN pairs ON jaccard >= lo AND jaccard < hi GROUP BY bin, lo, hi"""
 
 
+def sql_audit_report() -> str:
+    p = PARAMS
+    settings = (
+        ("shingle size", p.k), ("signature length", p.num_hashes), ("bands", p.bands),
+        ("rows per band", p.rows), ("threshold", p.threshold),
+    )
+    results = (
+        ("total documents", "total_docs::VARCHAR"), ("confirmed pairs", "total_confirmed_pairs::VARCHAR"),
+        ("documents with a duplicate", "docs_with_at_least_one_duplicate::VARCHAR"),
+        ("percent of documents", "printf('%.1f', pct_docs_with_duplicate)"),
+        ("mean jaccard", "printf('%.4f', mean_jaccard_among_pairs)"),
+    )
+    parts = [
+        f"SELECT {i}::BIGINT AS position, 'configuration' AS section, '{key}' AS key, '{value}' AS value"
+        for i, (key, value) in enumerate(settings)
+    ]
+    parts += [
+        f"SELECT {100 + i}, 'results', '{key}', {value} FROM audit" for i, (key, value) in enumerate(results)
+    ]
+    parts.append(
+        "SELECT 300 + round(lo * 10)::BIGINT, 'histogram', bin, pairs || ' pairs (' || printf('%.1f', pct) || '%)'"
+        " FROM histogram"
+    )
+    return f"WITH audit AS ({AUDIT}), histogram AS ({HISTOGRAM}) " + " UNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     own = library_sql()
     return own if llm is None else own | llm.oracle_sql()
@@ -549,7 +610,7 @@ counted AS (
          (SELECT count(*) FROM truth) AS num_ground_truth,
          (SELECT count(*) FROM candidates JOIN truth USING (doc_a, doc_b)) AS num_hits)
 SELECT num_candidates, num_ground_truth, num_hits,
-       {sql_quality("num_hits", "num_candidates", "num_ground_truth", 6, "round")}
+       {sql_quality("num_hits", "num_candidates", "num_ground_truth", lambda value: f"round({value}, 6)")}
 FROM counted""",
         "param_sweep": sql_sweep(),
         "scalability_counts": sql_scalability(),
@@ -565,4 +626,6 @@ FROM counted""",
         "jaccard_histogram": HISTOGRAM,
         "top_pairs": f"WITH {TOP} SELECT * FROM top",
         "example_lines": f"WITH {TOP} {EXAMPLE_LINES}",
+        "audit_report": sql_audit_report(),
+        "csv_round_trip": sql_sweep(),
     }

@@ -1,6 +1,7 @@
 """Column functions."""
 
 from nearfold.functions.minhash import LARGE_PRIME, hash_family, minhash_signature, text_sketch
+from nearfold.functions.rounding import python_fixed, python_round
 from nearfold.functions.shingles import char_shingles, shingle_hash
 from nearfold.functions.similarity import (
     error_bound,
@@ -22,6 +23,8 @@ __all__ = [
     "jaccard_of_counts",
     "minhash_signature",
     "normalize_text",
+    "python_fixed",
+    "python_round",
     "s_curve",
     "shingle_hash",
     "text_sketch",

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nearfold.functions import python_round
 from nearfold.operators.classes import every_chunk, member_chunks, pair_weight
 
 # Histogram bins and labels. The last label says 1.0, yet the bin
@@ -78,8 +79,8 @@ def dedup_audit(pairs: DataFrame, total_docs: int) -> DataFrame:
         F.lit(total_docs).cast("bigint").alias("total_docs"),
         "total_confirmed_pairs",
         F.col("having").alias("docs_with_at_least_one_duplicate"),
-        F.bround(share, 2).alias("pct_docs_with_duplicate"),
-        F.bround(F.coalesce("mean", F.lit(0.0)), 4).alias("mean_jaccard_among_pairs"),
+        python_round(share, 2).alias("pct_docs_with_duplicate"),
+        python_round(F.coalesce("mean", F.lit(0.0)), 4).alias("mean_jaccard_among_pairs"),
     )
 
 

@@ -14,7 +14,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nearfold.sources.scratch import stage
+
 TILE_ROWS = 4096
+# Hot keys up to this many are broadcast (some 100 bytes each); beyond, their rows are salted.
+BROADCAST_KEYS = 200_000
+SALTS = 64
 
 
 def tile_count(size: Column, tile_rows: int = TILE_ROWS) -> Column:
@@ -34,16 +39,26 @@ def pairs_within(
 ) -> DataFrame:
     """Pairs ``(a, b)`` of rows with equal ``keys``, as structs (id, carry...), a.id < b.id.
 
-    Group sizes are counted with map-side partial sums; groups of one row drop
-    out before anything is paired. A pair comes once per group it shares.
-
-    ``rows`` usually come from an explode. The optimizer does not know how many
-    rows that yields and would broadcast by the size of the file beneath it, so
-    the joins are hinted to sort and merge; AQE splits their skewed partitions.
+    Group sizes are counted with map-side partial sums. Only the keys above one
+    tile are kept, in a staged table; their rows are dealt into tiles before any
+    row is shuffled, so the rows of a hot key never meet in one task. All other
+    keys are one tile and join as they are; a group of one row pairs with none.
+    A pair comes once per group it shares.
     """
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")).where("_size >= 2")
-    sized = rows.join(sizes.hint("merge"), list(keys))
-    return pairs_of_sized(sized, keys, "_size", id_col, carry, tile_rows)
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    hot = stage(sizes.where(F.col("_size") > tile_rows), "hot-keys")
+    count = hot.count()
+    if not count:
+        return pairs_of_sized(rows.withColumn("_size", F.lit(1)), keys, "_size", id_col, carry, tile_rows)
+    # Hot keys are at most rows / tile_rows; should they be too many to broadcast, a row is first
+    # salted, and each hot key repeated for every salt, so that this join has no hot key either.
+    if count <= BROADCAST_KEYS:
+        sized = rows.join(F.broadcast(hot), list(keys), "left")
+    else:
+        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)))
+        every = hot.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1))))
+        sized = salted.join(every.hint("merge"), [*keys, "_salt"], "left").drop("_salt")
+    return pairs_of_sized(sized.fillna(1, ["_size"]), keys, "_size", id_col, carry, tile_rows)
 
 
 def pairs_of_sized(

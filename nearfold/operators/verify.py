@@ -2,19 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearfold.functions import jaccard_of_counts
+from nearfold.sources.scratch import stage
 
-# Sets of up to this many elements in total (64 MB of INT) may be broadcast.
-BROADCAST_ELEMENTS = 1 << 24
+# Sets of up to this many bytes in memory may be broadcast.
+BROADCAST_BYTES = 1 << 26
+# Bits of the filter of wanted ids: ten for each, within these bounds (8 KB to 64 MB).
+FILTER_BITS = (1 << 16, 1 << 29)
+
+
+def id_filter(ids: DataFrame, count: int, id_col: str = "doc_id") -> DataFrame:
+    """One row with a Bloom filter of the staged ``ids``: ``(words array<bigint>, bits bigint)``.
+
+    Its size follows from the counted ids and is bounded; with more ids than it
+    was made for it only lets more rows pass.
+    """
+    low, high = FILTER_BITS
+    bits = min(high, max(low, 1 << (10 * count).bit_length()))
+    probes = ids.select(F.explode(F.array(*_probes(F.col(id_col), F.lit(bits)))).alias("at"))
+    words = probes.groupBy(F.shiftright("at", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("held")
+    )
+    found = words.toArrow()
+    filled = np.zeros(bits >> 6, dtype=np.int64)
+    filled[found["word"].to_numpy()] = found["held"].to_numpy()
+    table = pa.table({"words": pa.array([filled]), "bits": pa.array([bits])})
+    return ids.sparkSession.createDataFrame(table)
+
+
+def _probes(key: Column, bits: Column) -> list[Column]:
+    return [F.pmod(F.xxhash64(F.lit(salt), key), bits) for salt in (1, 2, 3)]
 
 
 def referenced(rows: DataFrame, pairs: DataFrame, a: str, b: str, id_col: str = "doc_id") -> DataFrame:
-    """Rows whose id occurs in ``pairs``; a filter ahead of shipping wide rows."""
-    ids = pairs.select(F.explode(F.array(a, b)).alias(id_col)).distinct()
-    return rows.join(ids, id_col, "left_semi")
+    """Rows whose id occurs in ``pairs``; a filter ahead of shipping wide rows.
+
+    A Bloom filter of the ids is broadcast and drops nearly all other rows where
+    they are scanned, so only wanted rows reach the exact join.
+    """
+    ids = stage(pairs.select(F.explode(F.array(a, b)).alias(id_col)).distinct(), "wanted")
+    held = F.broadcast(id_filter(ids, ids.count(), id_col))
+    passes = [
+        F.call_function(
+            "shiftright", F.get("words", F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")
+        ).bitwiseAND(F.lit(1)) == 1
+        for at in _probes(rows[id_col], F.col("bits"))
+    ]
+    likely = rows.join(held, passes[0] & passes[1] & passes[2], "left_semi")
+    return likely.join(ids, id_col, "left_semi")
 
 
 def attach_jaccard(
@@ -22,19 +62,19 @@ def attach_jaccard(
     sets: DataFrame,
     a: str = "doc_a",
     b: str = "doc_b",
-    elements: int | None = None,
+    size: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Add the column ``jaccard``. A document without a set counts as empty.
 
-    Sets are broadcast if ``elements``, the counted total of their elements, is
-    at most ``BROADCAST_ELEMENTS``. Otherwise both joins sort and merge by id,
+    Sets are broadcast if ``size``, the counted total of their rows and elements,
+    is at most ``BROADCAST_BYTES`` in memory. Otherwise both joins sort and merge by id,
     where AQE splits an id that occurs in very many pairs; Spark's own size
     estimate knows nothing of array lengths and is not relied on.
 
     Beside a broadcast, pairs are few bytes but much work each; they are dealt
     out by number first, lest AQE merges them into a handful of tasks.
     """
-    small = elements is not None and elements <= BROADCAST_ELEMENTS
+    small = size is not None and held_bytes(*size) <= BROADCAST_BYTES
     both = pairs
     if small:
         spark = pairs.sparkSession
@@ -56,9 +96,15 @@ def attach_jaccard(
     return sized.select(*pairs.columns, score.alias("jaccard"))
 
 
-def count_elements(sets: DataFrame) -> int:
-    """Total number of set elements, for stored sets."""
-    return sets.agg(F.coalesce(F.sum(F.size("shingles")), F.lit(0))).first()[0]
+def held_bytes(rows: int, elements: int) -> int:
+    """Bound on the memory of broadcast sets: their elements, and some for each row."""
+    return 4 * elements + 96 * rows
+
+
+def count_elements(sets: DataFrame) -> tuple[int, int]:
+    """Rows and total number of elements of stored sets."""
+    counts = sets.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("shingles")), F.lit(0)))
+    return tuple(counts.first())
 
 
 def verify_candidates(candidates: DataFrame, sets: DataFrame, threshold: float = 0.5) -> DataFrame:

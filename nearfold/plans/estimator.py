@@ -8,10 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearfold.functions import error_bound, estimate_jaccard
+from nearfold.functions import error_bound, estimate_jaccard, minhash_signature, python_round
 from nearfold.operators.shingling import shingle_sets
-from nearfold.operators.signatures import minhash_signatures
-from nearfold.operators.verify import attach_jaccard, referenced
+from nearfold.operators.verify import attach_jaccard, count_elements, referenced
+from nearfold.sources.scratch import stage
 
 # The signature lengths of the study.
 SIGNATURE_LENGTHS = (32, 64, 128, 256, 512)
@@ -35,8 +35,14 @@ def pair_estimates(
     drawn in sequence, so a shorter signature is a prefix of a longer one.
     """
     sets = shingle_sets(referenced(docs, pairs, "doc_a", "doc_b"), k)
-    true = attach_jaccard(pairs, sets)
-    signatures = minhash_signatures(sets, max(n_values), seed)
+    # Written with their signatures, so that no text is cut into shingles twice.
+    signed = sets.select(
+        "doc_id", "shingles", minhash_signature("shingles", max(n_values), seed).alias("signature")
+    )
+    signed = stage(signed, "estimator-sets")
+    sets = signed.select("doc_id", "shingles")
+    true = attach_jaccard(pairs, sets, size=count_elements(sets))
+    signatures = signed.select("doc_id", "signature")
     for end in ("a", "b"):
         own = signatures.withColumnsRenamed({"doc_id": f"doc_{end}", "signature": f"sig_{end}"})
         true = true.join(own, f"doc_{end}")
@@ -69,9 +75,9 @@ def estimator_error(
     )
     return stats.select(
         "n",
-        F.bround("mean", 6).alias("mean_absolute_error"),
-        F.bround("deviation", 6).alias("std_error"),
-        F.bround(error_bound(F.col("n")), 6).alias("theoretical_bound_1_over_sqrt_n"),
+        python_round("mean", 6).alias("mean_absolute_error"),
+        python_round("deviation", 6).alias("std_error"),
+        python_round(error_bound(F.col("n")), 6).alias("theoretical_bound_1_over_sqrt_n"),
         "num_pairs",
     )
 

@@ -9,7 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearfold.functions import normalize_text, text_sketch
+from nearfold.functions import char_shingles, minhash_signature, normalize_text, text_sketch
 from nearfold.operators.classes import (
     class_members,
     collapse,
@@ -49,11 +49,31 @@ class NearDuplicates:
     params: Params = field(default_factory=Params)
     normalize: bool = True
     drop_empty: bool = False
+    two_passes: bool = False
+
+    @cached_property
+    def shingled(self) -> DataFrame:
+        """``(doc_id, text_key, shingles)``, staged; only for a run in two passes."""
+        keyed = clean(self.docs, self.normalize, self.drop_empty).select(
+            "doc_id",
+            F.unhex(F.sha2("text", 256)).alias("text_key"),
+            char_shingles("text", self.params.k).alias("shingles"),
+        )
+        return stage(keyed, "shingled")
 
     @cached_property
     def sketches(self) -> DataFrame:
         """``(doc_id, text_key, n_shingles, band_keys)`` of every document, staged."""
         p = self.params
+        if self.two_passes:
+            signed = self.shingled.select(
+                "doc_id", "text_key", F.size("shingles").alias("n_shingles"),
+                minhash_signature("shingles", p.num_hashes, p.seed).alias("signature"),
+            )
+            keys = band_keys("signature", p.bands, p.rows)
+            return stage(
+                signed.select("doc_id", "text_key", "n_shingles", keys.alias("band_keys")), "sketches"
+            )
         keyed = clean(self.docs, self.normalize, self.drop_empty).select(
             "doc_id",
             F.unhex(F.sha2("text", 256)).alias("text_key"),
@@ -97,12 +117,12 @@ class NearDuplicates:
             for end in ("a", "b")
         ]
         ends = plausible.select(F.inline(F.array(*sized))).distinct()
-        elements = ends.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+        counts = tuple(ends.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first())
         plausible = plausible.select(*CLASS_PAIR)
         # The filter by id comes ahead of cleaning and shingling.
         texts = clean(referenced(self.docs, plausible, "rep_a", "rep_b"), self.normalize)
         sets = shingle_sets(texts, self.params.k)
-        scored = attach_jaccard(plausible, sets, "rep_a", "rep_b", elements)
+        scored = attach_jaccard(plausible, sets, "rep_a", "rep_b", counts)
         return scored.where(F.col("jaccard") >= self.params.threshold)
 
     @property
@@ -178,8 +198,7 @@ class RunSummary:
 
     def metrics(self, spark: SparkSession) -> DataFrame:
         """``(phase, rows, seconds)``."""
-        rows = {
-            "sketching": self.num_docs,
+        rows = {phase: self.num_docs for phase in self.seconds} | {
             "lsh": self.num_candidates,
             "verification": self.num_confirmed,
             "total": self.num_confirmed,
@@ -195,16 +214,23 @@ def run_near_duplicates(
     params: Params | None = None,
     normalize: bool = True,
     drop_empty: bool = False,
+    separate_phases: bool = False,
 ) -> RunSummary:
     """Run every phase to completion and time it.
 
-    Shingling and MinHash are one pass and one phase, ``sketching``.
+    Shingling and MinHash are one pass and one phase, ``sketching``; with
+    ``separate_phases`` the sets are written in between, and they are two.
     """
-    run = NearDuplicates(docs, params or Params(), normalize, drop_empty)
+    run = NearDuplicates(docs, params or Params(), normalize, drop_empty, separate_phases)
     seconds: dict[str, float] = {}
     counts: dict[str, int] = {}
+    sketching = {"sketching": lambda: run.sketches.count()}
+    if separate_phases:
+        sketching = {
+            "shingling": lambda: run.shingled.count(), "minhash": lambda: run.sketches.count()
+        }
     phases = {
-        "sketching": lambda: run.sketches.count(),
+        **sketching,
         "lsh": run.num_candidates,
         "verification": run.num_confirmed,
     }
@@ -214,4 +240,4 @@ def run_near_duplicates(
         counts[phase] = work()
         seconds[phase] = time.perf_counter() - begun
     seconds["total"] = time.perf_counter() - start
-    return RunSummary(run, counts["sketching"], counts["lsh"], counts["verification"], seconds)
+    return RunSummary(run, counts[next(iter(sketching))], counts["lsh"], counts["verification"], seconds)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nearfold.functions import python_fixed
 from nearfold.operators.audit import dedup_audit, jaccard_histogram
-from nearfold.operators.examples import top_pairs
+from nearfold.operators.examples import top_class_pairs, top_pairs
 from nearfold.params import Params
 from nearfold.plans.near_duplicates import RunSummary, run_near_duplicates
 
@@ -34,8 +35,8 @@ def audit_report(audit: DataFrame, histogram: DataFrame, summary: RunSummary) ->
             _entry("total documents", F.col("total_docs")),
             _entry("confirmed pairs", F.col("total_confirmed_pairs")),
             _entry("documents with a duplicate", F.col("docs_with_at_least_one_duplicate")),
-            _entry("percent of documents", F.format_string("%.1f", "pct_docs_with_duplicate")),
-            _entry("mean jaccard", F.format_string("%.4f", "mean_jaccard_among_pairs")),
+            _entry("percent of documents", python_fixed("pct_docs_with_duplicate", 1)),
+            _entry("mean jaccard", python_fixed("mean_jaccard_among_pairs", 4)),
         ).alias("entries")
     )
     spark = audit.sparkSession
@@ -53,7 +54,7 @@ def audit_report(audit: DataFrame, histogram: DataFrame, summary: RunSummary) ->
     bars = histogram.select(
         F.lit("histogram").alias("section"), F.lit(3).alias("part"),
         F.round(F.col("lo") * 10).cast("int").alias("place"), F.col("bin").alias("key"),
-        F.format_string("%d pairs (%.1f%%)", "pairs", "pct").alias("value"),
+        F.format_string("%d pairs (%s%%)", "pairs", python_fixed("pct", 1)).alias("value"),
     )
     rows = stated.unionByName(found).unionByName(bars)
     position = F.col("part") * 100 + F.col("place")
@@ -87,19 +88,15 @@ def example_lines(top: DataFrame) -> DataFrame:
 
 
 def example_header(summary: RunSummary, shown: int, corpus: str) -> DataFrame:
-    """Opening lines of the example report, ahead of all blocks."""
+    """``(position, line)`` of what is known of the run, ahead of all blocks."""
     p = summary.run.params
-    lines = [
-        "Near-Duplicate Document Pairs",
-        f"Dataset: {corpus} ({summary.num_docs} documents)",
-        f"Settings: n={p.num_hashes}, b={p.bands}, r={p.rows}, k={p.k}, threshold={p.threshold}",
-        f"Total confirmed pairs: {summary.num_confirmed}",
-        f"Showing top {shown} pairs by Jaccard similarity",
-        RULE,
-        "",
-    ]
-    spark = summary.run.docs.sparkSession
-    return spark.createDataFrame(list(enumerate(lines)), "position int, line string")
+    facts = {
+        "corpus": corpus, "documents": summary.num_docs, "pairs": summary.num_confirmed, "shown": shown,
+        "shingle size": p.k, "signature length": p.num_hashes, "bands": p.bands, "rows per band": p.rows,
+        "threshold": p.threshold,
+    }
+    lines = [(i, f"{key}: {value}") for i, (key, value) in enumerate(facts.items())]
+    return summary.run.docs.sparkSession.createDataFrame(lines, "position int, line string")
 
 
 def example_report(
@@ -111,6 +108,7 @@ def example_report(
 ) -> DataFrame:
     """``(position, line)`` of the whole example report, excerpts from the raw texts."""
     summary = run_near_duplicates(docs, params)
-    top = top_pairs(summary.confirmed_pairs, docs, n, chars)
+    best = top_class_pairs(summary.run.compact, summary.run.members, n)
+    top = top_pairs(best, docs, n, chars)
     shown = min(n, summary.num_confirmed)
     return example_header(summary, shown, corpus).unionByName(example_lines(top))

@@ -17,10 +17,8 @@ from nearfold.params import Params
 from nearfold.plans.near_duplicates import NearDuplicates, clean
 from nearfold.sources.corpus import prefix_cutoff, prefix_size
 
-# Fixed values of the study: corpus shares, and the prefix size up to which the
-# exact method is run beside banding.
+# Fixed values of the study: corpus shares.
 FRACTIONS = (0.10, 0.25, 0.50, 1.00)
-EXACT_MAX_DOCS = 5000
 
 SCALABILITY_SCHEMA = (
     "num_docs bigint, fraction double, method string, runtime_seconds double, "
@@ -57,12 +55,11 @@ def scalability_counts(
     docs: DataFrame,
     fractions: Sequence[float] = FRACTIONS,
     params: Params | None = None,
-    exact_max_docs: int = EXACT_MAX_DOCS,
 ) -> DataFrame:
     """``(num_docs, fraction, method, num_pairs_found)`` without timings.
 
     All prefixes share one pass over the texts. Method ``lsh`` counts
-    candidates, ``brute_force`` true pairs (prefixes up to ``exact_max_docs``).
+    candidates, ``brute_force`` true pairs.
     """
     params = params or Params()
     cuts = [cut for cut in prefixes(docs, fractions) if cut[2] is not None]
@@ -71,9 +68,8 @@ def scalability_counts(
         _labelled(count_candidates(sketches.where(F.col("doc_id") <= last)), n, fraction, "lsh")
         for fraction, n, last in cuts
     ]
-    small = [cut for cut in cuts if cut[1] <= exact_max_docs]
-    if small:
-        widest = max(last for _, _, last in small)
+    if cuts:
+        widest = max(last for _, _, last in cuts)
         sets = shingle_sets(clean(docs.where(F.col("doc_id") <= widest)), params.k)
         truth = exact_pairs(sets, params.threshold)
         # A pair lies in a prefix if its larger id does: one pass counts them all.
@@ -85,7 +81,7 @@ def scalability_counts(
                     F.lit("brute_force").alias("method"),
                     F.count_if(F.col("doc_b") <= last).alias("num_pairs_found"),
                 )
-                for fraction, n, last in small
+                for fraction, n, last in cuts
             ]
         )
         rows.append(truth.agg(held.alias("held")).select(F.inline("held")))
@@ -96,18 +92,18 @@ def timed_scalability(
     docs: DataFrame,
     fractions: Sequence[float] = FRACTIONS,
     params: Params | None = None,
-    exact_max_docs: int = EXACT_MAX_DOCS,
 ) -> DataFrame:
     """The same table with ``runtime_seconds``: every prefix starts again from its texts."""
     params = params or Params()
     out = []
     for fraction, n, last in prefixes(docs, fractions):
         prefix = docs.where(F.col("doc_id") <= last)
-        methods = {"lsh": lambda: count_candidates(NearDuplicates(prefix, params).sketches).first()[0]}
-        if n <= exact_max_docs:
-            methods["brute_force"] = lambda: exact_pairs(
+        methods = {
+            "lsh": lambda: count_candidates(NearDuplicates(prefix, params).sketches).first()[0],
+            "brute_force": lambda: exact_pairs(
                 shingle_sets(clean(prefix), params.k), params.threshold
-            ).count()
+            ).count(),
+        }
         for method, work in methods.items():
             begun = time.perf_counter()
             found = work()

@@ -2,14 +2,14 @@
 
 import hashlib
 import random
-import re
 from itertools import combinations
 
 PRIME = 2**61 - 1
 
 
 def normalize(text):
-    return re.sub(r"\s+", " ", re.sub(r"[^a-z0-9 ]", " ", text.lower())).strip()
+    kept = [c if c.isascii() and c.isalnum() else " " for c in text.lower()]
+    return " ".join("".join(kept).split())
 
 
 def hash31(piece):

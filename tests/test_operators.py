@@ -1,4 +1,5 @@
 import random
+import re
 from itertools import combinations
 
 import pytest
@@ -17,7 +18,6 @@ from nearfold.operators import (
     sample_pairs,
     shingle_sets,
     shingle_table,
-    stdlib_pairs,
     top_pairs,
     verify_candidates,
 )
@@ -144,11 +144,80 @@ def test_exact_pairs_on_random_sets(spark, seed):
         assert scores(exact_pairs(df, threshold, tile_rows=3)) == brute.exact(true, threshold)
 
 
-def test_exact_pairs_with_few_ranked_shingles(sets, true_sets, monkeypatch):
-    from nearfold.operators import exact
-
-    monkeypatch.setattr(exact, "RANKED_SHINGLES", 5)
+def test_hot_key_is_dealt_into_tiles(spark, monkeypatch):
+    """No task gets more than two tiles of a key that holds half of all rows."""
+    from pyspark.sql import functions as F
+
+    from nearfold.operators import tiling
+
+    rows = spark.range(400).selectExpr("id AS doc_id", "if(id % 2 = 0, 0, id) AS g")
+    want = 200 * 199 // 2
+    for limit in (tiling.BROADCAST_KEYS, 0):  # hot keys broadcast, or joined with salt
+        monkeypatch.setattr(tiling, "BROADCAST_KEYS", limit)
+        assert pairs_within(rows, ["g"], tile_rows=20).count() == want
+    placed = tiling._place(
+        rows.where("g = 0"), "doc_id", tiling.tile_count(F.lit(200), 20)
+    ).groupBy("_lo", "_hi").count()
+    assert placed.agg(F.max("count")).first()[0] < 2 * 45
+    monkeypatch.undo()
+    plan = pairs_within(rows, ["g"], tile_rows=20)._jdf.queryExecution().executedPlan().toString()
+    # Tiles are dealt from the broadcast list of hot keys; rows are shuffled by tile only.
+    shuffles = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert "BroadcastHashJoin" in plan and shuffles and all("_lo" in keys for keys in shuffles)
+
+
+def test_wanted_rows_are_filtered_at_the_scan(spark, sf_small):
+    from nearfold.operators.verify import referenced
+
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
+    pairs = spark.createDataFrame([(1, 7), (7, 30), (5, 10**12)], "doc_a bigint, doc_b bigint")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = referenced(docs, pairs, "doc_a", "doc_b")
+        assert {r.doc_id for r in kept.collect()} == {1, 5, 7, 30}
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    plan = plan.split("Initial Plan")[0]
+    assert plan.index("SortMergeJoin") < plan.index("BroadcastNestedLoopJoin") < plan.index("FileScan")
+    between = plan[plan.index("SortMergeJoin") : plan.index("BroadcastNestedLoopJoin")]
+    assert "Exchange hashpartitioning(doc_id" in between
+
+
+def test_id_filter_drops_most_other_ids(spark):
+    from pyspark.sql import functions as F
+
+    from nearfold.operators import verify
+
+    ids = spark.range(5000).selectExpr("id * 3 AS doc_id")
+    held = verify.id_filter(ids, 5000)
+    row = held.first()
+    assert row.bits == 1 << 16 and len(row.words) == 1 << 10
+    docs = spark.range(30000).selectExpr("id AS doc_id")
+    pairs = ids.select(F.col("doc_id").alias("doc_a"), F.col("doc_id").alias("doc_b"))
+    assert verify.referenced(docs, pairs, "doc_a", "doc_b").count() == 5000
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_broadcast_and_merge_give_the_same_pairs(sets, true_sets, monkeypatch, limit):
+    from nearfold.operators import verify
+
+    monkeypatch.setattr(verify, "BROADCAST_BYTES", limit)
     assert scores(exact_pairs(sets, 0.5)) == brute.exact(true_sets, 0.5)
+    assert verify.held_bytes(400_000, 400_000) > 36_800_000
+
+
+def test_rounding_follows_python(spark):
+    from nearfold.functions import python_fixed, python_round
+
+    values = [100.0 * 107 / 4000, 1.00005, 0.5, 2.5, None, 0.125]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (0, 2, 4):
+        got = df.select(python_round("v", digits).alias("r"), python_fixed("v", digits).alias("f")).collect()
+        assert [r.r for r in got] == [None if v is None else round(v, digits) for v in values]
+        assert [r.f for r in got] == [None if v is None else f"{v:.{digits}f}" for v in values]
+    assert [r.r for r in df.select(python_round("v", 2).alias("r")).collect()][0] == 2.67
 
 
 @pytest.mark.parametrize("tile_rows", [1, 3, 4096])
@@ -272,14 +341,3 @@ def test_sample_pairs_dense_and_sparse(spark):
     assert len({x for x, _ in a.values()}) == 50
     with pytest.raises(ValueError):
         sample_pairs(dense.limit(1), 5)
-
-
-def test_stdlib_pairs(spark):
-    rng = random.Random(42)
-    want = []
-    while len(want) < 30:
-        i, j = rng.randint(0, 9), rng.randint(0, 9)
-        if i != j:
-            want.append((i, j))
-    got = [(r.doc_a, r.doc_b) for r in stdlib_pairs(spark, 10, 30).orderBy("draw").collect()]
-    assert got == want
