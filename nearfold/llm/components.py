@@ -2,7 +2,7 @@
 
 Each round replaces edges by edges to smaller nodes (Kiveris et al., Connected
 Components in MapReduce and Beyond); the table never grows and is written once
-a round. All joins meet one row on one side, so AQE can split a hub's partition.
+a round. All joins meet one row on one side, and AQE can split a hub's partition.
 """
 
 from __future__ import annotations
@@ -13,16 +13,25 @@ from pyspark.sql import functions as F
 from nearfold.sources.scratch import stage
 
 
+def _least(edges: DataFrame) -> DataFrame:
+    """``(u, _m)``: the least neighbour of each node.
+
+    The node is computed anew, so that the join to come shuffles this side too:
+    AQE splits a hub's partition only between two plain exchanges.
+    """
+    least = edges.groupBy("u").agg(F.min("v").alias("_m"))
+    return least.select(F.col("u").bitwiseXOR(F.lit(0)).alias("u"), "_m")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("v", "u"))
-    least = edges.union(edges.select("v", "u")).groupBy("u").agg(F.min("v").alias("_m"))
-    joined = both.where("v > u").join(least.hint("merge"), "u")
+    joined = both.where("v > u").join(_least(both).hint("merge"), "u")
     return joined.select(F.col("v").alias("u"), F.least("_m", "u").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Edges come as (larger, smaller)."""
-    least = edges.groupBy("u").agg(F.min("v").alias("_m"))
+    least = _least(edges)
     joined = edges.join(least.hint("merge"), "u").where("v <> _m")
     star = joined.select(F.col("v").alias("u"), F.col("_m").alias("v"))
     return star.union(least.select("u", F.col("_m").alias("v"))).distinct()

@@ -88,6 +88,19 @@ def test_chain_of_components(spark):
     assert components(edges.limit(0)).count() == 0
 
 
+def test_joins_of_hubs_can_be_split(spark):
+    from nearfold.llm.components import _large_star, _small_star
+
+    edges = spark.range(1, 300).selectExpr("id AS u", "0L AS v")
+    for star in (_large_star, _small_star):
+        plan = star(edges)._jdf.queryExecution().executedPlan().toString().splitlines()
+        joins = [i for i, line in enumerate(plan) if "SortMergeJoin" in line]
+        assert joins
+        for i, line in enumerate(plan):
+            if "Sort [" in line:
+                assert "Exchange hashpartitioning(u" in plan[i + 1]
+
+
 def test_awkward_rows(spark):
     rows = simhash_components(awkward(spark)).collect()
     assert len(rows) == len(AWKWARD)
