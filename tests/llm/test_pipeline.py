@@ -73,3 +73,71 @@ def test_every_query_covers_its_table(spark, sf_small):
             expected = table(spark, sf_small, "pages").count()
         assert found[name](spark, sf_small).count() == expected, name
     assert ".limit(" not in inspect.getsource(queries)
+
+
+def test_whole_pipeline_equals_brute_force(spark, sf_small):
+    """Every stage again over plain rows: who stays, which text, and how it is packed."""
+    import re
+    from collections import Counter, defaultdict
+
+    from nearfold.llm.langid import MARGIN, Classifier, fit_dictionaries
+    from tests.llm.test_decontam import equal_by_definition
+    from tests.llm.test_packing import unrolled
+    from tests.llm.test_secrets import REFERENCE
+    from tests.llm.test_simhash import plain_components, plain_fingerprint
+
+    table_ = table(spark, sf_small, "documents")
+    rows = {r.doc_id: r.asDict() for r in table_.collect()}
+    classifier = Classifier(fit_dictionaries(table_))
+    kept = {}
+    for key, row in rows.items():
+        language, _, margin = classifier.predict(row["text"])
+        if language != "und" and margin >= MARGIN:
+            kept[key] = row
+    prints = {key: plain_fingerprint(row["text"]) for key, row in kept.items()}
+    groups, least = plain_components(prints.values()), {}
+    for key, value in prints.items():
+        group = min(groups[value])
+        least[group] = min(key, least.get(group, key))
+    kept = {key: row for key, row in kept.items() if key == least[min(groups[prints[key]])]}
+    words = lambda t: re.findall(r"\w+", t.lower())
+    items = [words(r.text) for r in table(spark, sf_small, "benchmark").collect()]
+    # Items are compared only where a word run of four is shared: no alignment without one can leak.
+    runs = [{tuple(i[n : n + 4]) for n in range(len(i) - 3)} for i in items]
+
+    def leaks_(text):
+        found = words(text)
+        mine = {tuple(found[n : n + 4]) for n in range(len(found) - 3)}
+        return any(mine & run and equal_by_definition(found, item) for item, run in zip(items, runs, strict=True))
+
+    kept = {key: row for key, row in kept.items() if not leaks_(row["text"])}
+    owners = defaultdict(set)
+    for row in kept.values():
+        for pattern, group, size, flags in REFERENCE.values():
+            for m in re.finditer(pattern, row["text"], flags):
+                if len(m.group(group)) >= size:
+                    owners[m.group(group)].add(row["source"])
+    live = {v for v, o in owners.items() if len(o) <= 2 and len(set(v)) >= 6}
+    histogram, pieces = Counter(), Counter()
+    for key, row in kept.items():
+        text = row["text"]
+        for pattern, group, _, flags in REFERENCE.values():
+            text = re.sub(
+                pattern,
+                lambda m, group=group: m.group()[: len(m.group()) - len(m.group(group))] + "[SECRET]"
+                if m.group(group) in live else m.group(),
+                text, flags=flags,
+            )
+        tokens = len(re.findall(r"[^\x20\x09-\x0D]+", text)) + 1
+        for piece, begin in enumerate(range(0, tokens, 4096)):
+            pieces[key, piece, min(4096, tokens - begin)] += 1
+            histogram[min(4096, tokens - begin)] += 1
+    got = corpus_pipeline.run(spark, sf_small).collect()
+    assert Counter((r.doc_id, r.piece, r.n_tokens) for r in got) == pieces
+    bins, sizes = unrolled(dict(histogram), (512, 1024, 2048, 4096))
+    mine = defaultdict(list)
+    for r in got:
+        mine[r.bin].append((r.bin_offset, r.n_tokens))
+        assert r.bin_length == sizes[r.bin]
+    assert {b: sorted(v) for b, v in mine.items()} == {b: sorted(v) for b, v in bins.items()}
+    assert len(kept) > 100

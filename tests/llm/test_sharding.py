@@ -65,3 +65,40 @@ def test_awkward_rows(spark):
 def test_loads_with_slack():
     assert capacities(10, 4) == [3, 3, 2, 2]
     assert capacities(10, 4, 0.2) == [3] * 4
+
+
+def test_whole_query_equals_brute_force(spark, sf_small):
+    """Ring, arcs, walk and slots again, row by row and without Spark."""
+    import xxhash
+
+    from nearfold.llm.queries import op2_bounded_ring
+
+    rows = [(r.doc_id, r.text) for r in table(spark, sf_small, "documents").collect()]
+    points, owners = ring(40)
+    placed = []
+    for key, text in rows:
+        position = int(np.uint64(xxhash.xxh64_intdigest(str(key), 42)).astype(np.int64))
+        placed.append((position, key, len(text.encode()) + 16))
+    placed.sort()
+    limits = capacities(len(rows), 40)
+    arcs = [int(np.searchsorted(points, p)) for p, _, _ in placed]
+    load = [0] * 40
+    shard_of, waiting = {}, []
+    for arc, (_, key, _) in zip(arcs, placed, strict=True):
+        home = int(owners[arc % len(owners)])
+        if load[home] < limits[home]:
+            shard_of[key] = home
+            load[home] += 1
+        else:
+            waiting.append((arc, key))
+    for arc, key in waiting:
+        at = arc + 1 if arc < len(owners) else 1
+        while load[owners[at % len(owners)]] >= limits[owners[at % len(owners)]]:
+            at += 1
+        shard_of[key] = int(owners[at % len(owners)])
+        load[shard_of[key]] += 1
+    got = op2_bounded_ring(spark, sf_small).collect()
+    assert {r.doc_id: r.shard for r in got} == shard_of
+    sizes = {key: size for _, key, size in placed}
+    assert all(r["size"] == sizes[r.doc_id] and r.law == "rows" and r.grown_shard is None for r in got)
+    assert sorted((r.shard, r.slot) for r in got) == [(s, i) for s in range(40) for i in range(limits[s])]
