@@ -139,7 +139,9 @@ def _card(value: Column, key: str) -> Column:
     )
     return _with(
         _digits(value),
-        lambda d: F.when(luhn_sum(d) % 10 == 0, _with(permute(d), grouped)),
+        lambda d: F.when(
+            F.length(d).between(13, 19) & (luhn_sum(d) % 10 == 0), _with(permute(d), grouped)
+        ),
     )
 
 
