@@ -99,14 +99,13 @@ def message_hashes(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> n
     for lo in range(0, start.size, SLICE):
         part = slice(lo, lo + SLICE)
         begin, size = start[part], length[part]
-        if size.max() <= ONE_BLOCK:
-            out[part] = _short_message_hashes(data, begin, size)
-        else:
-            out[part] = [
-                int.from_bytes(hashlib.md5(data[s : s + n].tobytes()).digest()[:4], "little")
-                & SHINGLE_MASK
-                for s, n in zip(begin.tolist(), size.tolist())
-            ]
+        short = size <= ONE_BLOCK
+        if short.any():
+            out[lo + np.flatnonzero(short)] = _short_message_hashes(data, begin[short], size[short])
+        # Only the messages that need a second block are hashed one by one.
+        for i in np.flatnonzero(~short).tolist():
+            message = data[begin[i] : begin[i] + size[i]].tobytes()
+            out[lo + i] = int.from_bytes(hashlib.md5(message).digest()[:4], "little") & SHINGLE_MASK
     return out
 
 

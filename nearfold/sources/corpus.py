@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nearfold.sources.scratch import stage
+
 BINS = 1024
 
 
@@ -30,15 +32,15 @@ def load_corpus(
 
     ``where`` selects a subset by the source's own columns (a category, a
     language) and reaches the scan. Without an id column each row gets a unique
-    one from its split and position; stage the result, or the ids follow the
-    next read's splits.
+    one from its split and position, and the result is staged, so that every
+    later read sees the same ids.
     """
     raw = spark.read.format(fmt).options(**options).load(path)
     if where is not None:
         raw = raw.where(where)
     text = F.col(text_col).alias("text")
     if id_col is None:
-        return raw.select(F.monotonically_increasing_id().alias("doc_id"), text)
+        return stage(raw.select(F.monotonically_increasing_id().alias("doc_id"), text), "corpus")
     return raw.select(F.col(id_col).cast("bigint").alias("doc_id"), text)
 
 

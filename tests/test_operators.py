@@ -208,6 +208,23 @@ def test_broadcast_and_merge_give_the_same_pairs(sets, true_sets, monkeypatch, l
     assert verify.held_bytes(400_000, 400_000) > 36_800_000
 
 
+@pytest.mark.parametrize("block_bytes", [1, 4000, 1 << 24])
+def test_blocks_of_any_size_give_the_same_scores(spark, block_bytes):
+    """A set that is missing is empty; a set goes to a block once, however many pairs it has."""
+    from nearfold.operators import verify
+
+    rng = random.Random(4)
+    rows = [(i, rng.sample(range(60), rng.randrange(0, 40))) for i in range(30)]
+    held = {i: set(s) for i, s in rows}
+    sets = spark.createDataFrame(rows, "doc_id bigint, shingles array<int>")
+    pairs = [(i, j, f"x{i}") for i in range(32) for j in range(i + 1, 32)]
+    frame = spark.createDataFrame(pairs, "doc_a bigint, doc_b bigint, note string")
+    got = verify.by_blocks(frame, sets, "doc_a", "doc_b", verify.count_elements(sets), block_bytes)
+    want = {(a, b, n, brute.jaccard(held.get(a, set()), held.get(b, set()))) for a, b, n in pairs}
+    assert {tuple(r) for r in got.collect()} == want
+    assert got.columns == ["doc_a", "doc_b", "note", "jaccard"]
+
+
 def test_rounding_follows_python(spark):
     from nearfold.functions import python_fixed, python_round
 
