@@ -37,7 +37,7 @@ ROUNDS = 10
 _LEFT, _RIGHT = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 #: The formats. Repetition is bounded or possessive, so that scanning is linear.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,20}+",
     "card": _LEFT
     + r"(?:[0-9]{13,19}|[0-9]{4}(?<s>[ -])[0-9]{4}\k<s>[0-9]{4}\k<s>[0-9]{4}"
     + r"|[0-9]{4}(?<t>[ -])[0-9]{6}\k<t>[0-9]{5})"

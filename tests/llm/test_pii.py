@@ -122,6 +122,16 @@ def test_only_personal_values_change(spark):
     assert changed > 20
 
 
+def test_very_long_runs(spark):
+    """Patterns neither run out of stack nor of time on long texts of their own characters."""
+    texts = ["a@b" + ".c" * 50_000, "1" * 200_000, "1.2." * 50_000, "x" * 200_000 + "@", "12-34-" * 30_000,
+             "4041 8949 7460 8795 " * 5_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in pseudonymize(docs).collect()}
+    assert [rows[i].text == texts[i] for i in range(6)] == [False, True, True, True, True, False]
+    assert rows[0].pii.email == 1 and rows[5].pii.card == 5_000
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     out = pseudonymize(docs)

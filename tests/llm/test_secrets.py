@@ -65,6 +65,15 @@ def test_owners_tell_examples_from_live_values(spark):
     assert hidden[10] == hidden[13] == "password=[SECRET]" and hidden[0] == rows[0][1] and hidden[12] == rows[10][1]
 
 
+def test_very_long_runs(spark):
+    texts = ["token=" * 20_000, "0123456789abcdef" * 10_000, "AKIA" * 30_000, "password=Abcdef123 " * 2_000]
+    docs = spark.createDataFrame([(i, t, "s", "en") for i, t in enumerate(texts)],
+                                 "doc_id long, text string, source string, lang string")
+    for row in scan_secrets(docs).collect():
+        found = [f"{s.kind}:{s.start}:{s.end}" for s in row.found if s.kind != "live"]
+        assert ",".join(found) == expected(texts[row.doc_id])
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     found = scan_secrets(docs)
