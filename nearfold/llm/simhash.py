@@ -209,11 +209,16 @@ def simhash_components(
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the least id of each near-duplicate group; rows with a null id stay.
+    """``docs`` with the least id of each near-duplicate group, see :func:`keep_least`."""
+    return keep_least(docs, simhash_components(docs, id_col, text_col), id_col)
+
+
+def keep_least(docs: DataFrame, components: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` with the least id of each group of ``components(id, component_id)``; rows with a null id stay.
 
     Of rows that share a kept id the one with the least hash of its content stays.
     """
-    grouped = stage(simhash_components(docs, id_col, text_col).where(F.col(id_col).isNotNull()), "simhash-groups")
+    grouped = stage(components.where(F.col(id_col).isNotNull()), "simhash-groups")
     gone = stage(grouped.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "simhash-gone")
     kept = drop_ids(docs, gone, id_col)
     twice = stage(
