@@ -7,7 +7,7 @@ largest id is stored and the others are ``revisit`` records that refer to it.
 Who refers to whom is decided on digests and ids alone; payloads are not
 shuffled unless more than ``BROADCAST_IDS`` pages are revisits.
 
-The reader takes whole files (plain, or gzip with one member a record), checks
+The reader takes whole files (plain, gzip with one member a record, or both mixed), checks
 every record (version line, header lines, length, the blank lines behind the
 block, block and payload digest) and after a failed check searches for the next
 place where a record can begin: a gzip member that inflates, or a version line
@@ -40,7 +40,6 @@ from nearfold.sources.scratch import scratch_root, stage
 MIN_REVISIT = 1000
 FILE_BYTES = 8 << 20
 END = "\r\n\r\n"
-VERSION = b"WARC/1."
 _VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 _MEMBER = b"\x1f\x8b\x08"
 _HEADER = re.compile(r"[!#$%&'*+.^_`|~0-9A-Za-z-]+:.*", re.S)
@@ -168,23 +167,36 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict[str, str] | None, bytes | None, str | None]]:
     """``(kind, start, end, headers, block, cause)``; kind: record or gap, in order, covering the file."""
-    if data[:3] == _MEMBER or (VERSION not in data[:4096] and _MEMBER in data):
-        yield from _salvage_members(data)
-        return
+    places = {"line": -1, "member": -1}
+
+    def following(at: int) -> int:
+        """The nearest place from ``at`` on where a gzip member or a version line begins."""
+        if places["line"] < at:
+            line = _VERSION_LINE.search(data, at)
+            places["line"] = line.start() if line else len(data)
+        if places["member"] < at:
+            member = data.find(_MEMBER, at)
+            places["member"] = member if member >= 0 else len(data)
+        return min(places.values())
+
     at, lost, cause = 0, None, None
     while at < len(data):
         try:
-            headers, block, end = parse_record(data, at)
+            if data[at : at + 3] == _MEMBER:
+                records, end = _member_records(data, at)
+            else:
+                headers, block, end = parse_record(data, at)
+                records = [(headers, block)]
         except Damaged as failed:
             if lost is None:
                 lost, cause = at, str(failed)
-            found = _VERSION_LINE.search(data, at + 1)
-            at = found.start() if found else len(data)
+            at = following(at + 1)
             continue
         if lost is not None:
             yield "gap", lost, at, None, None, cause
             lost = None
-        yield "record", at, end, headers, block, None
+        for headers, block in records:
+            yield "record", at, end, headers, block, None
         at = end
     if lost is not None:
         yield "gap", lost, len(data), None, None, cause
@@ -204,31 +216,14 @@ def _inflate(data: bytes, at: int) -> tuple[bytes, int]:
     return b"".join(parts), end - len(inflater.unused_data)
 
 
-def _salvage_members(data: bytes) -> Iterator[tuple]:
-    at, lost, cause = 0, None, None
-    while at < len(data):
-        try:
-            if data[at : at + 3] != _MEMBER:
-                raise Damaged("gzip member")
-            inflated, end = _inflate(data, at)
-            records, inner = [], 0
-            while inner < len(inflated):
-                headers, block, inner = parse_record(inflated, inner)
-                records.append((headers, block))
-        except Damaged as failed:
-            if lost is None:
-                lost, cause = at, str(failed)
-            found = data.find(_MEMBER, at + 1)
-            at = found if found >= 0 else len(data)
-            continue
-        if lost is not None:
-            yield "gap", lost, at, None, None, cause
-            lost = None
-        for headers, block in records:
-            yield "record", at, end, headers, block, None
-        at = end
-    if lost is not None:
-        yield "gap", lost, len(data), None, None, cause
+def _member_records(data: bytes, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
+    """Headers and blocks of the records in the gzip member at ``at``, and its end."""
+    inflated, end = _inflate(data, at)
+    records, inner = [], 0
+    while inner < len(inflated):
+        headers, block, inner = parse_record(inflated, inner)
+        records.append((headers, block))
+    return records, end
 
 
 READ_SCHEMA = (

@@ -64,6 +64,27 @@ def test_gap_has_its_range_and_cause():
     assert list(salvage(b"")) == [] and [r[0] for r in salvage(b"no archive")] == ["gap"]
 
 
+def test_plain_file_with_damaged_head_and_gzip_payloads():
+    parts = [record(n, b"x" * 5000 + gzip.compress(b"page %d" % n * 99)) for n in range(4)]
+    for head in (b"WARC/9.1", b"\x00ARC/1.1"):
+        data = head + b"".join(parts)[8:]
+        rows = list(salvage(data))
+        assert [r[0] for r in rows] == ["gap", "record", "record", "record"]
+        assert rows[0][1:3] == (0, len(parts[0])) and numbers(data) == [f"<urn:page:{n}>" for n in (1, 2, 3)]
+        covers(data)
+
+
+def test_plain_and_gzip_records_in_one_file():
+    plain = [record(n, b"plain %d " % n * 50) for n in range(6)]
+    mixed = [gzip.compress(p) if n % 2 else p for n, p in enumerate(plain)]
+    for first in (mixed, mixed[1:]):
+        assert len(numbers(b"".join(first))) == len(first)
+        for hit in range(len(first)):
+            data = b"".join(p[:-20] + b"\xff" * 9 + p[-11:] if n == hit else p for n, p in enumerate(first))
+            assert len(numbers(data)) == len(first) - 1
+            covers(data)
+
+
 def test_version_line_inside_a_payload():
     inner = record(9)
     rows = list(salvage(record(1, b"before " + inner) + record(2)))
