@@ -180,17 +180,16 @@ def redact_secrets(
     """``docs`` with every value that is live replaced by ``mark`` wherever a pattern finds it.
 
     The live values of a text are looked up by the id of its row; rows that share
-    an id share their values. Texts with no live value are not touched or moved:
+    an id share their values, and so do all rows with a null id. Texts with no live value are not touched or moved:
     the ids of the others are broadcast if they are few.
     """
     rows, spans = candidates(docs, id_col, text_col, *_columns(None, None))
     live = _labelled(spans, max_owners).where("live").select("_row", "value_hash").distinct()
-    hashes = live.join(rows.hint("merge"), "_row").where("_id is not null")
-    hashes = hashes.groupBy(F.col("_id").alias("_secret_id")).agg(F.collect_set("value_hash").alias("_live"))
+    hashes = live.join(rows.hint("merge"), "_row").groupBy(F.col("_id").alias("_secret_id")).agg(F.collect_set("value_hash").alias("_live"))
     hashes = stage(hashes, "secret-live")
     # The row travels as one struct, so that no column of it can clash with ours.
     joined = docs.select(F.struct("*").alias("_doc"), F.col(text_col).alias("_text")).join(
-        sized_hint(hashes), F.col(f"_doc.{id_col}") == F.col("_secret_id"), "left"
+        sized_hint(hashes), F.col(f"_doc.{id_col}").eqNullSafe(F.col("_secret_id")), "left"
     )
     touched = F.col("_live").isNotNull()
     for pattern, group, _ in PATTERNS.values():

@@ -65,6 +65,14 @@ def test_owners_tell_examples_from_live_values(spark):
     assert hidden[10] == hidden[13] == "password=[SECRET]" and hidden[0] == rows[0][1] and hidden[12] == rows[10][1]
 
 
+def test_rows_without_id_are_redacted(spark):
+    rows = [(None, "password=my-own-S3cret-1", "a", "en"), (None, "nothing here", "a", "en"),
+            (None, "token=other-S3cret-22 password=my-own-S3cret-1", "b", "en"), (1, "password=third-S3cret-3", "c", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    hidden = sorted(r.text for r in redact_secrets(docs, length_col=None).collect())
+    assert hidden == ["nothing here", "password=[SECRET]", "password=[SECRET]", "token=[SECRET] password=[SECRET]"]
+
+
 def test_very_long_runs(spark):
     texts = ["token=" * 20_000, "0123456789abcdef" * 10_000, "AKIA" * 30_000, "password=Abcdef123 " * 2_000]
     docs = spark.createDataFrame([(i, t, "s", "en") for i, t in enumerate(texts)],
