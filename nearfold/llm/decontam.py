@@ -13,8 +13,9 @@ benchmark's seeds by hash, alignments are deduplicated, and the stretches are
 compared with the items. Documents that share nothing with a benchmark send
 nothing into a shuffle (but for chance hits of the bitmap).
 
-Tokens are runs of letters and figures, lower-cased. Items shorter than the
-longest mask are found by exact hashes of their whole sequence. Defined cases:
+Tokens are runs of letters and figures, lower-cased. For items shorter than
+``overlap``, patterns of replaced words that no mask hits have seeds of their
+own; for items shorter than the longest mask these are all patterns. Defined cases:
 null and empty texts (and items without a token) match nothing; null ids are
 kept in the result of :func:`leaks` and never dropped by
 :func:`drop_contaminated`; repeated rows and items are matched one by one and
@@ -24,8 +25,11 @@ columns are ignored by :func:`leaks` and kept by :func:`drop_contaminated`.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
+from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -81,6 +85,26 @@ def mask_offsets(masks: tuple[str, ...]) -> list[np.ndarray]:
     return [np.flatnonzero(np.array(list(m)) == "1") for m in masks]
 
 
+@cache
+def extra_offsets(width: int, masks: tuple[str, ...], identity: float) -> list[np.ndarray]:
+    """Offsets of further seeds for items of ``width`` tokens: one for each pattern that no mask hits.
+
+    Patterns are the places that may be replaced with ``identity`` kept; the seed looks at all others.
+    """
+    replaced = width - math.ceil(identity * width - 1e-9)
+    seen = [set((at + o).tolist()) for o in mask_offsets(masks) for at in range(width - int(o[-1]))]
+    return [
+        np.setdiff1d(np.arange(width), places)
+        for places in combinations(range(width), replaced)
+        if not any(s.isdisjoint(places) for s in seen)
+    ]
+
+
+def used_masks(width: int, masks: tuple[str, ...]) -> tuple[str, ...]:
+    """All masks, or none for items shorter than the longest."""
+    return masks if width >= max(len(m) for m in masks) else ()
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -100,6 +124,10 @@ def leaks(
     item_type = benchmark.schema[item_col].dataType.simpleString()
     id_type = docs.schema[id_col].dataType.simpleString()
 
+    def extra_kinds(width: int) -> list[tuple[int, np.ndarray]]:
+        found = extra_offsets(width, used_masks(width, masks), identity)
+        return [((width << 32) + n, places) for n, places in enumerate(found)]
+
     def read_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in batches:
@@ -111,15 +139,16 @@ def leaks(
         for batch in batches:
             for key, listed in zip(batch.column(0), batch.column(1), strict=True):
                 values = np.array(listed.as_py(), np.int64).view(np.uint64)
-                short = len(values) < longest
-                used = [(len(values), np.arange(len(values)))] if short else enumerate(offsets)
-                for kind, places in used:
-                    kind = kind + 1000 if short else kind
+                width = len(values)
+                used = [(kind, places, 0) for kind, places in enumerate(offsets) if width >= longest]
+                if width < overlap or width < longest:
+                    used += [(kind, places, width) for kind, places in extra_kinds(width)]
+                for kind, places, short in used:
                     found = seed_hashes(values, places, kind).view(np.int64)
                     yield pa.RecordBatch.from_pydict({
                         "_item_row": [key.as_py()] * len(found), "seed": found,
                         "item_at": np.arange(len(found), dtype=np.int32),
-                        "short": np.full(len(found), len(values) if short else 0, np.int32),
+                        "short": np.full(len(found), short, np.int32),
                     })
 
     items = benchmark.select(F.col(item_col).alias("item"), whole(text_col).alias("text"))
@@ -141,7 +170,7 @@ def leaks(
     shorts = sorted(r["short"] for r in seeds.where("short > 0").select("short").distinct().collect())
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(bitmap.tobytes())
-    kinds = [*enumerate(offsets), *((1000 + n, np.arange(n)) for n in shorts)]
+    kinds = [*enumerate(offsets), *(kind for n in shorts for kind in extra_kinds(n))]
     reach = max(overlap, longest)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -55,6 +55,24 @@ def test_replaced_words_do_not_hide_a_passage(spark):
     assert {f for f in found if f[1] == 1} <= {t for t in truth if t[1] == 1} and len(found) > len(long_items)
 
 
+def test_every_pattern_of_replaced_words_in_short_items(spark):
+    docs, items = [], []
+    for width in range(1, 15):
+        item = [f"t{width}_{i}" for i in range(width)]
+        items.append((width, " ".join(item)))
+        for replaced in range(width + 1):
+            if width - replaced < IDENTITY * width - 1e-9:
+                break
+            for places in combinations(range(width), replaced):
+                words = [f"r{i}" if i in places else w for i, w in enumerate(item)]
+                docs.append((1000 * len(docs) + width, " ".join(["before", *words, "behind"])))
+        over = ["r"] * replaced + item[replaced:]
+        docs.append((1000 * len(docs), " ".join(over)))  # one word more than allowed
+    found = leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                  spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(d, d % 1000) for d, _ in docs if d % 1000}
+
+
 def test_planted_passages_of_the_data(spark):
     sf = "/root/testdata/sf0.01"
     docs, items = table(spark, sf, "documents"), table(spark, sf, "benchmark")
