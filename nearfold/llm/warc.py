@@ -43,6 +43,7 @@ END = "\r\n\r\n"
 _VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 _MEMBER = b"\x1f\x8b\x08"
 _HEADER = re.compile(r"[!#$%&'*+.^_`|~0-9A-Za-z-]+:.*", re.S)
+#: The end of a header is looked for here first.
 MAX_HEADER_BYTES = 1 << 16
 
 
@@ -137,6 +138,9 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
         raise Damaged("version line")
     line_end = data.index(b"\r\n", at) + 2
     blank = data.find(b"\r\n\r\n", line_end - 2, line_end + MAX_HEADER_BYTES)
+    if blank < 0:  # a long header; it can reach to the next version line, as none is a header line
+        line = data.find(b"\r\nWARC/1.", line_end - 2)
+        blank = data.find(b"\r\n\r\n", line_end - 2, line + 2 if line >= 0 else len(data))
     if blank < 0:
         raise Damaged("header not ended")
     headers: dict[str, str] = {}

@@ -85,6 +85,14 @@ def test_plain_and_gzip_records_in_one_file():
             covers(data)
 
 
+def test_very_long_url():
+    url = b"data:," + b"x" * 200_000
+    long = record(1).replace(b"\r\nContent-Length", b"\r\nWARC-Target-URI: " + url + b"\r\nContent-Length")
+    data = long + record(2)
+    assert numbers(data) == ["<urn:page:1>", "<urn:page:2>"] and next(salvage(data))[3]["warc-target-uri"] == url.decode()
+    assert numbers(long[:100_000] + record(2)) == ["<urn:page:2>"]
+
+
 def test_version_line_inside_a_payload():
     inner = record(9)
     rows = list(salvage(record(1, b"before " + inner) + record(2)))
