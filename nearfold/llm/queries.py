@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nearfold.llm.align import align, groups_digest
 from nearfold.llm.ann import nearest
+from nearfold.llm.bpe import bpe_decode, bpe_encode
 from nearfold.llm.common import id_crc, read_table
 from nearfold.llm.decontam import leaks
 from nearfold.llm.langid import fit_dictionaries, identify
@@ -22,6 +24,13 @@ from nearfold.llm.simhash import simhash_components
 from nearfold.llm.warc import archive_pages, page_rows
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = id_crc() % 4 == 2
@@ -89,13 +98,35 @@ def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hashed_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align(
+        read_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")
+    )
+    return aligned.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+        groups_digest("groups").alias("groups_sha256"),
+    )
+
+
+def op13_batched_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer("word_bpe_49k.json")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = docs.select("doc_id", bpe_encode("text", path).alias("ids"))
+    decoded = encoded.select("doc_id", "ids", bpe_decode("ids", path).alias("decoded"))
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_compression_language, op2_bounded_ring, op3_permutation_index, op4_salvaged_archive,
             op5_spaced_seeds, op6_variable_packing, op7_simhash_ball, op8_owned_secrets,
-            op9_backoff_automaton, op10_feistel_pseudonyms,
+            op9_backoff_automaton, op10_feistel_pseudonyms, op12_hashed_alignment, op13_batched_bpe,
         )
     }
 

@@ -64,10 +64,10 @@ def test_every_query_covers_its_table(spark, sf_small):
     rows = {
         "op1_compression_language": 200, "op2_bounded_ring": 200, "op4_salvaged_archive": None,
         "op7_simhash_ball": 200, "op8_owned_secrets": 200, "op9_backoff_automaton": 200,
-        "op10_feistel_pseudonyms": 200,
+        "op10_feistel_pseudonyms": 200, "op12_hashed_alignment": 200, "op13_batched_bpe": 200,
     }
     found = queries.queries()
-    assert [int(n[2:].split("_")[0]) for n in found] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in found] == [*range(1, 11), 12, 13]
     for name, expected in rows.items():
         if expected is None:
             expected = table(spark, sf_small, "pages").count()
