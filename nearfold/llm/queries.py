@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from nearfold.llm.align import align, groups_digest
 from nearfold.llm.ann import nearest
 from nearfold.llm.bpe import bpe_decode, bpe_encode
+from nearfold.llm.collocations import collocations
 from nearfold.llm.common import id_crc, read_table
 from nearfold.llm.decontam import leaks
 from nearfold.llm.langid import fit_dictionaries, identify
@@ -98,6 +99,10 @@ def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_toivonen_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op12_hashed_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = align(
         read_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")
@@ -126,7 +131,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for f in (
             op1_compression_language, op2_bounded_ring, op3_permutation_index, op4_salvaged_archive,
             op5_spaced_seeds, op6_variable_packing, op7_simhash_ball, op8_owned_secrets,
-            op9_backoff_automaton, op10_feistel_pseudonyms, op12_hashed_alignment, op13_batched_bpe,
+            op9_backoff_automaton, op10_feistel_pseudonyms, op11_toivonen_phrases,
+            op12_hashed_alignment, op13_batched_bpe,
         )
     }
 
@@ -176,6 +182,40 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
        coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live
 FROM texts LEFT JOIN listed USING (r)"""
 
+PHRASES_SQL = r"""WITH pieces AS (
+  SELECT row_number() OVER () AS p, lang, w FROM (
+    SELECT coalesce(lang, 'und') AS lang, list_filter(
+      string_split_regex(unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')), '[\x20\x09]+'), lambda x: x <> '') AS w
+    FROM documents) WHERE len(w) > 0),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 6) s(k) WHERE len(w) >= k)),
+freq AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+cand AS MATERIALIZED (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM freq WHERE k > 1),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, a, w, m, unnest(range(1, k - m + 2)) AS i FROM cand, range(2, 5) s(m) WHERE m < k)
+  GROUP BY ALL),
+kept AS (
+  SELECT cand.* FROM cand LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a),
+cuts AS (SELECT *, unnest(range(1, k)) AS c FROM kept),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, x.f AS l, y.f AS r, n, c,
+         ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts JOIN total USING (lang)
+  JOIN freq x ON x.lang = cuts.lang AND x.phrase = array_to_string(cuts.w[1:c], ' ')
+  JOIN freq y ON y.lang = cuts.lang AND y.phrase = array_to_string(cuts.w[c + 1:cuts.k], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_salvaged_archive": ARCHIVE_SQL, "op8_owned_secrets": secrets_sql()}
+    return {
+        "op4_salvaged_archive": ARCHIVE_SQL, "op8_owned_secrets": secrets_sql(),
+        "op11_toivonen_phrases": PHRASES_SQL,
+    }
