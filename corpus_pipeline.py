@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from nearfold.llm.common import read_table
 from nearfold.llm.decontam import drop_contaminated
 from nearfold.llm.langid import drop_unidentified
-from nearfold.llm.nearcopies import drop_similar
 from nearfold.llm.packing import pack_documents
 from nearfold.llm.secrets import redact_secrets
+from nearfold.llm.simhash import drop_near_copies
 from nearfold.sources.scratch import stage
 
 
@@ -19,8 +19,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of near copies (five-word Jaccard of 0.8 or more)."""
-    return drop_similar(docs)
+    """The document of least id of each group of near copies (fingerprints within four bits)."""
+    return drop_near_copies(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
