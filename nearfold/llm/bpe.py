@@ -15,7 +15,7 @@ ways to the same token allow that). Runs of one symbol merge from the left. Word
 are cut ahead of the rounds between bytes that stand side by side in no token:
 no merge can cross there, so a word of any length costs little more than its parts.
 
-Encoded words are kept for the next batches, up to ``CACHE_WORDS`` words and
+Encoded stretches are kept for the next batches, up to ``CACHE_WORDS`` of them and
 ``CACHE_BYTES`` bytes, then forgotten: the result does not depend on it. Nothing
 is shuffled. The vocabulary is read from ``path`` once a Python worker; every
 worker must be able to open it.
@@ -46,6 +46,7 @@ CACHE_WORDS = 1 << 17
 CACHE_BYTES = 1 << 23
 _NONE = np.uint32(0xFFFFFFFF)
 _SIGMA = "Σ"
+_NO_IDS = np.empty(0, np.int32)
 
 
 def byte_letters() -> list[str]:
@@ -81,7 +82,9 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in told["added_tokens"]}
         for token, i in self.special.items():
             self.tokens[i] = token
-        self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
+        self.specials = regex.compile(
+            f"({'|'.join(map(regex.escape, sorted(self.special, key=len, reverse=True)))})"
+        )
         split = next(p for p in told["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         pattern = split["pattern"]["Regex"]
         self.words = regex.compile(pattern)
@@ -151,8 +154,9 @@ class Vocabulary:
             rank[at] = rank[at + 1]
             symbols, word, rank = symbols[kept], word[kept], rank[kept]
             moved = at - np.arange(len(at))
-            near = np.unique(np.concatenate((moved, moved[moved > 0] - 1)))
-            near = near[near + 1 < len(symbols)]
+            beside = np.zeros(len(symbols) + 1, bool)  # the last place takes what is left of the first symbol
+            beside[moved] = beside[moved - 1] = True
+            near = np.flatnonzero(beside[: len(symbols) - 1])
             near = near[word[near] == word[near + 1]]
             rank[near] = self.pair_ranks(symbols[near], symbols[near + 1])
         if not done:
@@ -178,79 +182,84 @@ class Vocabulary:
         word_of_part = np.repeat(np.arange(len(raw)), sizes)[np.flatnonzero(cut)]
         return np.bincount(word_of_part[part_of], minlength=len(raw)), ids
 
-    def pieces(self, text: str) -> Iterator[list[str] | int]:
-        """Words between special tokens, and the ids of these."""
-        begin = 0
-        for found in self.specials.finditer(text):
-            yield self.split(text[begin : found.start()])
-            yield self.special[found.group()]
-            begin = found.end()
-        yield self.split(text[begin:])
-
     def split(self, text: str) -> list[str]:
         """Words of the normalised text."""
-        if not text.isascii() and any(unicodedata.category(c) == "Cn" for c in set(text)):
+        if text.isascii():
+            return self.words.findall(text.lower())
+        if any(unicodedata.category(c) == "Cn" for c in text):
             # Characters newer than these tables: the library's own tables decide what they are.
             return [word for word, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))]
         return self.words.findall(normalised(text))
 
 
 def normalised(text: str) -> str:
-    """NFC, white space as single spaces, lower case of each character by itself."""
-    text = regex.sub(r"\s+", " ", unicodedata.normalize("NFC", text))
+    """NFC and lower case of each character by itself; white space, which is in no word, stays."""
+    text = unicodedata.normalize("NFC", text)
     # Lower case of a whole text writes a capital sigma at a word's end in another way.
     return "σ".join(part.lower() for part in text.split(_SIGMA))
 
 
 class Encoder:
-    """A vocabulary and the words it has encoded lately."""
+    """A vocabulary and the stretches between spaces that it has encoded lately."""
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
         self._forget()
 
     def _forget(self) -> None:
+        """Only the special tokens are known, each as a stretch of its own."""
         self.index, self.held = _Index(), 0
-        self.begins, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.ids = np.empty(0, np.int32)
         for special in self.vocabulary.special:
             self.index[special]
-        self._take([])
-
-    def _take(self, words: list[str]) -> None:
-        """Encodes ``words``, which the index has numbered in this order, after the special tokens."""
-        if not len(self.counts):
-            special = np.fromiter(self.vocabulary.special.values(), np.int32)
-            self.index.new = []
-            self.ids, self.counts = special, np.ones(len(special), np.int64)
-        elif words:
-            counts, ids = self.vocabulary.encode_words(words)
-            self.ids = np.concatenate((self.ids, ids))
-            self.counts = np.concatenate((self.counts, counts))
-            self.held += sum(map(len, words))
+        self.index.new = []
+        self.ids = np.fromiter(self.vocabulary.special.values(), np.int32)
+        self.counts = np.ones(len(self.ids), np.int64)
+        self.begins = np.arange(len(self.ids))
+
+    def _take(self, stretches: list[str]) -> None:
+        """Encodes ``stretches``, which the index has numbered in this order."""
+        words = _Index()
+        numbers, sizes = [], []
+        for stretch in stretches:
+            found = self.vocabulary.split(stretch)
+            sizes.append(len(found))
+            numbers.extend(map(words.__getitem__, found))
+        self.held += sum(map(len, stretches))
+        lengths, word_ids = self.vocabulary.encode_words(words.new)
+        ids, counts = gathered(word_ids, np.cumsum(lengths) - lengths, lengths, np.array(numbers, np.int64))
+        ends = np.concatenate(([0], np.cumsum(counts)))
+        bounds = ends[np.concatenate(([0], np.cumsum(np.array(sizes, np.int64))))]
+        self.ids = np.concatenate((self.ids, ids))
+        self.counts = np.concatenate((self.counts, np.diff(bounds)))
         self.begins = np.cumsum(self.counts) - self.counts
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each text, and all ids in a row."""
         if len(self.index) > CACHE_WORDS or self.held > CACHE_BYTES:
             self._forget()
-        special = {i: n for n, i in enumerate(self.vocabulary.special.values())}
         numbers: list[int] = []
         bounds = [0]
         for text in texts:
-            for piece in self.vocabulary.pieces(text):
-                if isinstance(piece, int):
-                    numbers.append(special[piece])
-                else:
-                    numbers.extend(map(self.index.__getitem__, piece))
+            for piece in self.vocabulary.specials.split(text) if "<|" in text else (text,):
+                # A special token found in a text is known already; a stretch equal to one is one.
+                numbers.extend(map(self.index.__getitem__, piece.split(" ")))
             bounds.append(len(numbers))
         new, self.index.new = self.index.new, []
-        self._take(new)
-        number = np.array(numbers, np.int64)
-        counts = self.counts[number]
+        if new:
+            self._take(new)
+        ids, counts = gathered(self.ids, self.begins, self.counts, np.array(numbers, np.int64))
         ends = np.concatenate(([0], np.cumsum(counts)))
-        place = np.arange(ends[-1]) + np.repeat(self.begins[number] - ends[:-1], counts)
-        return np.diff(ends[bounds]), self.ids[place]
+        return np.diff(ends[bounds]), ids
+
+
+def gathered(
+    ids: np.ndarray, begins: np.ndarray, counts: np.ndarray, wanted: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the wanted stretches in a row, and how many each has."""
+    sizes = counts[wanted]
+    ends = np.cumsum(sizes)
+    place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[wanted] - ends + sizes, sizes)
+    return ids[place], sizes
 
 
 @cache
@@ -293,9 +302,9 @@ def bpe_decode(ids: Column | str, path: str) -> Column:
     @F.arrow_udf("string")
     def decode_batch(lists: pa.Array) -> pa.Array:
         tokens = encoder(path).vocabulary.tokens
-        known = range(len(tokens))
+        ids, known = [row.values.to_numpy() if row.is_valid else _NO_IDS for row in lists], len(tokens)
         return pa.array(
-            [" ".join([tokens[i] for i in (row.as_py() or ()) if i in known]) for row in lists], pa.string()
+            [" ".join([tokens[i] for i in row[(row >= 0) & (row < known)].tolist()]) for row in ids], pa.string()
         )
 
     return decode_batch(F.col(ids) if isinstance(ids, str) else ids)
