@@ -58,14 +58,15 @@ LEAST = 100
 MOST_WORDS = 5
 TOP = 2_000
 #: One in so many documents is in the sample; phrases are proposed from this count on.
-SAMPLE = 8
+SAMPLE = 16
 PROPOSED = 3
 BITMAP_BITS = 26
 BLOCK_TOKENS = 500_000
 #: Phrases that all blocks together send to a part, and parts at least.
 PART_KEYS = 1 << 22
 LEAST_PARTS = 16
-FAN = 256
+#: Tables added up at once; a part's tables of all blocks hold some ``PART_KEYS`` phrases together.
+FAN = 1 << 14
 #: What ends a piece of text.
 ENDS = b".,;:!?\n\x0b\x0c\r"
 #: No UTF-8 text holds this byte: it stands for the end of a piece.
@@ -224,8 +225,8 @@ class Miner:
         wanted = max(LEAST_PARTS, -(-MOST_WORDS * (size[1] or 0) // PART_KEYS))
         self.part_bits = min(16, int(np.ceil(np.log2(wanted))))
 
-    def count(self, *bitmaps: Broadcast) -> DataFrame:
-        """One row a part with the phrases counted in a pass, staged."""
+    def count(self, least: int, *bitmaps: Broadcast) -> DataFrame:
+        """One row a part with the phrases that a pass counts ``least`` times or more, staged."""
         shift = np.uint64(64 - self.part_bits)
 
         def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,10 +250,28 @@ class Miner:
 
         schema = f"{COUNTS}, carrier long"
         told = self.blocks.mapInArrow(tell, schema)
-        return stage(tree(told, self.n_blocks, _sums, schema, self.fan), "phrase-counts")
+        summed = tree(told, self.n_blocks, _sums, schema, self.fan)
 
-    def bitmap(self, counts: DataFrame, least: int, known: Broadcast | None) -> tuple[Broadcast, int]:
-        """The bits of the phrases with ``least`` occurrences.
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part, packed, told, carried in zip(*batch.columns, strict=True):
+                    keys = unpack_array(packed.as_py(), np.uint64)
+                    counts = large_counts(told.as_py(), len(keys))
+                    use = counts >= least
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([part.as_py()], pa.int32()), pa.array([pack_array(keys[use])]),
+                            pa.array([small_counts(counts[use])]),
+                            pa.array([pack_array(unpack_array(carried.as_py(), np.int64)[use])]),
+                        ],
+                        ["part", "keys", "counts", "carriers"],
+                    )
+
+        kept = summed.select("part", "keys", "counts", "carriers")
+        return stage(kept.mapInArrow(keep, "part int, keys binary, counts binary, carriers binary"), "phrase-counts")
+
+    def bitmap(self, counts: DataFrame, known: Broadcast | None) -> tuple[Broadcast, int]:
+        """The bits of the phrases of a pass.
 
         Also the number of those with less than ``MOST_WORDS`` words that are not ``known``. A part's
         hashes share their leading bits, so each part makes its own stretch of the bitmap.
@@ -261,9 +280,8 @@ class Miner:
 
         def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part, packed, told in zip(*(batch.column(i) for i in range(3)), strict=True):
+                for part, packed in zip(*batch.columns, strict=True):
                     keys = unpack_array(packed.as_py(), np.uint64)
-                    keys = keys[large_counts(told.as_py(), len(keys)) >= least]
                     bits = np.zeros(stretch, np.uint8)
                     at = (keys >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
                     bits[at - (part.as_py() << (BITMAP_BITS - part_bits))] = 1
@@ -277,7 +295,7 @@ class Miner:
                     )
 
         made, total, size = np.zeros(1 << (BITMAP_BITS - 3), np.uint8), 0, stretch >> 3
-        drawn = counts.select("part", "keys", "counts").mapInArrow(draw, "part int, bits binary, n long")
+        drawn = counts.select("part", "keys").mapInArrow(draw, "part int, bits binary, n long")
         # At most the bitmap itself.
         for part, bits, n in zip(*drawn.toArrow().columns, strict=True):
             begin = part.as_py() * size
@@ -287,19 +305,19 @@ class Miner:
 
     def frequent(self, sample_least: int) -> list[DataFrame]:
         """Tables of counts in which every frequent word and phrase stands once."""
-        sampled = self.count()
-        proposed, _ = self.bitmap(sampled, sample_least, None)
+        sampled = self.count(sample_least)
+        proposed, _ = self.bitmap(sampled, None)
         release(sampled)
-        found = [self.count(proposed)]
-        frequent, failures = self.bitmap(found[0], self.least, proposed)
+        found = [self.count(self.least, proposed)]
+        frequent, failures = self.bitmap(found[0], proposed)
         if failures:
-            found.append(self.count(proposed, frequent))
+            found.append(self.count(self.least, proposed, frequent))
         for bitmap in (proposed, frequent):
             bitmap.destroy()
         return found
 
 
-def named(blocks: DataFrame, counts: list[DataFrame], least: int) -> DataFrame:
+def named(blocks: DataFrame, counts: list[DataFrame]) -> DataFrame:
     """``(lang, size, phrase, f)`` of every frequent word and phrase, staged.
 
     One block that holds a phrase is asked for its words.
@@ -307,11 +325,10 @@ def named(blocks: DataFrame, counts: list[DataFrame], least: int) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for packed, told, carried in zip(*(batch.column(i) for i in range(3)), strict=True):
+            for packed, told, carried in zip(*batch.columns, strict=True):
                 keys = unpack_array(packed.as_py(), np.uint64)
                 f = large_counts(told.as_py(), len(keys))
-                use = f >= least
-                keys, f, carrier = keys[use], f[use], unpack_array(carried.as_py(), np.int64)[use]
+                carrier = unpack_array(carried.as_py(), np.int64)
                 order = np.argsort(carrier, kind="stable")
                 asked, begins = np.unique(carrier[order], return_index=True)
                 ranges = np.split(order, begins[1:])[: len(asked)]
@@ -421,7 +438,7 @@ def collocations(
     totals = totals.groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.n_words").alias("n"))
     miner = Miner(blocks, least, fan)
     counts = miner.frequent(proposed)
-    phrases = named(blocks, counts, least)
+    phrases = named(blocks, counts)
     order: list[Column] = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     ranked = scored(phrases, totals).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     return ranked.where(F.col("rank") <= top).select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")
