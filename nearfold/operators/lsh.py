@@ -44,16 +44,26 @@ def class_candidates(classes: DataFrame, carry: Sequence[str] = ()) -> DataFrame
     """Pairs of different classes that share a band, in class form.
 
     ``classes`` has ``rep``, ``docs``, ``band_keys`` and the carried columns,
-    which come back twice, suffixed ``_a`` and ``_b``.
+    which come back twice, suffixed ``_a`` and ``_b``. Each pair comes once, from
+    the first band it shares: both rows bring the keys of the bands before.
     """
     carry = ["docs", *carry]
-    rows = classes.select("rep", *carry, F.posexplode("band_keys").alias("band", "bucket"))
-    pairs = pairs_within(rows, ["band", "bucket"], id_col="rep", carry=carry)
+    rows = classes.select("rep", *carry, "band_keys", F.posexplode("band_keys").alias("band", "bucket"))
+    rows = rows.withColumn("earlier", F.slice("band_keys", F.lit(1), F.col("band"))).drop("band_keys")
+    pairs = pairs_within(
+        rows, ["band", "bucket"], id_col="rep", carry=[*carry, "earlier"], condition=first_shared_band
+    )
     flat = pairs.select(
         F.col("a.id").alias("rep_a"), F.col("b.id").alias("rep_b"),
         *[F.col(f"{side}.{c}").alias(f"{c}_{side}") for c in carry for side in ("a", "b")],
     )
-    return flat.distinct()
+    return flat
+
+
+def first_shared_band(x: Column, y: Column) -> Column:
+    """Whether the keys of the bands before this one, ``earlier`` of two rows, differ everywhere."""
+    agrees = F.zip_with(x["earlier"], y["earlier"], lambda p, q: p == q)
+    return ~F.exists(agrees, lambda same: same)
 
 
 def signature_classes(signatures: DataFrame, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:

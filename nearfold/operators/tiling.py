@@ -9,17 +9,16 @@ plainly, and every pair is produced exactly once.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearfold.sources.scratch import stage
+from nearfold.sources.scratch import stage_observed
 
 TILE_ROWS = 4096
-# Hot keys up to this many are broadcast (some 100 bytes each); beyond, their rows are salted.
-BROADCAST_KEYS = 200_000
-SALTS = 64
+# Shared keys are broadcast up to this many bytes in memory.
+BROADCAST_BYTES = 1 << 26
 
 
 def tile_count(size: Column, tile_rows: int = TILE_ROWS) -> Column:
@@ -30,35 +29,36 @@ def tile_of(id_col: str, tiles: Column) -> Column:
     return F.pmod(F.xxhash64(id_col), tiles).cast("int")
 
 
+def shared_keys(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
+    """``(keys, _size)`` of the keys that two or more rows have, staged, and their number."""
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    table, seen = stage_observed(sizes.where("_size >= 2"), "shared-keys")
+    return table, seen["rows"]
+
+
 def pairs_within(
     rows: DataFrame,
     keys: Sequence[str],
     id_col: str = "doc_id",
     carry: Sequence[str] = (),
     tile_rows: int = TILE_ROWS,
+    condition: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Pairs ``(a, b)`` of rows with equal ``keys``, as structs (id, carry...), a.id < b.id.
 
-    Group sizes are counted with map-side partial sums. Only the keys above one
-    tile are kept, in a staged table; their rows are dealt into tiles before any
-    row is shuffled, so the rows of a hot key never meet in one task. All other
-    keys are one tile and join as they are; a group of one row pairs with none.
-    A pair comes once per group it shares.
+    Group sizes are counted with map-side partial sums, and the keys of two or
+    more rows are kept as a staged table. Rows meet it first and take the size
+    of their group along: where it is broadcast, a row that pairs with none is
+    not shuffled at all. Beyond ``BROADCAST_BYTES`` the two sort and merge, both
+    as plain exchanges, so that AQE splits a hot key; runtime filters, if the
+    session has them on, drop single rows ahead of that exchange. Then rows of
+    hot keys are dealt into tiles. A pair comes once per group it shares;
+    ``condition`` on the two structs drops pairs inside the join.
     """
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    hot = stage(sizes.where(F.col("_size") > tile_rows), "hot-keys")
-    count = hot.count()
-    if not count:
-        return pairs_of_sized(rows.withColumn("_size", F.lit(1)), keys, "_size", id_col, carry, tile_rows)
-    # Hot keys are at most rows / tile_rows; should they be too many to broadcast, a row is first
-    # salted, and each hot key repeated for every salt, so that this join has no hot key either.
-    if count <= BROADCAST_KEYS:
-        sized = rows.join(F.broadcast(hot), list(keys), "left")
-    else:
-        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)))
-        every = hot.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1))))
-        sized = salted.join(every.hint("merge"), [*keys, "_salt"], "left").drop("_salt")
-    return pairs_of_sized(sized.fillna(1, ["_size"]), keys, "_size", id_col, carry, tile_rows)
+    shared, count = shared_keys(rows, keys)
+    small = count * (16 * len(keys) + 48) <= BROADCAST_BYTES
+    sized = rows.join(F.broadcast(shared) if small else shared.hint("merge"), list(keys))
+    return pairs_of_sized(sized, keys, "_size", id_col, carry, tile_rows, condition)
 
 
 def pairs_of_sized(
@@ -68,10 +68,11 @@ def pairs_of_sized(
     id_col: str = "doc_id",
     carry: Sequence[str] = (),
     tile_rows: int = TILE_ROWS,
+    condition: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """:func:`pairs_within` for rows that already carry the size of their group."""
     placed = _place(rows, id_col, tile_count(F.col(size_col), tile_rows))
-    return _meet(placed, keys, id_col, carry)
+    return _meet(placed, keys, id_col, carry, condition)
 
 
 def all_pairs(rows: DataFrame, id_col: str = "doc_id", tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -88,7 +89,13 @@ def _place(rows: DataFrame, id_col: str, tiles: Column) -> DataFrame:
     )
 
 
-def _meet(placed: DataFrame, keys: Sequence[str], id_col: str, carry: Sequence[str]) -> DataFrame:
+def _meet(
+    placed: DataFrame,
+    keys: Sequence[str],
+    id_col: str,
+    carry: Sequence[str],
+    condition: Callable[[Column, Column], Column] | None = None,
+) -> DataFrame:
     """Join the tiles. Both sides are the same plan, so they share one exchange."""
     item = F.struct(F.col(id_col).alias("id"), *carry).alias("_item")
     side = placed.select(*keys, "_lo", "_hi", "_tile", item)
@@ -98,6 +105,8 @@ def _meet(placed: DataFrame, keys: Sequence[str], id_col: str, carry: Sequence[s
     one_way = (F.col("x._tile") < F.col("y._tile")) | (
         (F.col("x._lo") == F.col("x._hi")) & (F.col("x._item.id") < F.col("y._item.id"))
     )
+    if condition is not None:
+        one_way &= condition(F.col("x._item"), F.col("y._item"))
     return x.join(y.hint("merge"), [*same, one_way]).select(
         F.least("x._item", "y._item").alias("a"), F.greatest("x._item", "y._item").alias("b")
     )

@@ -12,55 +12,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from nearfold.functions import jaccard_of_counts
-from nearfold.sources.scratch import stage
+from nearfold.sources.scratch import stage, stage_observed
 
 # Sets of up to this many bytes in memory may be broadcast.
 BROADCAST_BYTES = 1 << 26
 # Bytes of sets in a block, when they are too many to broadcast; a task holds two blocks.
 BLOCK_BYTES = 1 << 24
-# Bits of the filter of wanted ids: ten for each, within these bounds (8 KB to 64 MB).
-FILTER_BITS = (1 << 16, 1 << 29)
-
-
-def id_filter(ids: DataFrame, count: int, id_col: str = "doc_id") -> DataFrame:
-    """One row with a Bloom filter of the staged ``ids``: ``(words array<bigint>, bits bigint)``.
-
-    Its size follows from the counted ids and is bounded; with more ids than it
-    was made for it only lets more rows pass.
-    """
-    low, high = FILTER_BITS
-    bits = min(high, max(low, 1 << (10 * count).bit_length()))
-    probes = ids.select(F.explode(F.array(*_probes(F.col(id_col), F.lit(bits)))).alias("at"))
-    words = probes.groupBy(F.shiftright("at", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("held")
-    )
-    found = words.toArrow()
-    filled = np.zeros(bits >> 6, dtype=np.int64)
-    filled[found["word"].to_numpy()] = found["held"].to_numpy()
-    table = pa.table({"words": pa.array([filled]), "bits": pa.array([bits])})
-    return ids.sparkSession.createDataFrame(table)
-
-
-def _probes(key: Column, bits: Column) -> list[Column]:
-    return [F.pmod(F.xxhash64(F.lit(salt), key), bits) for salt in (1, 2, 3)]
+# Memory of one id in a broadcast table of ids.
+ID_BYTES = 32
 
 
 def referenced(rows: DataFrame, pairs: DataFrame, a: str, b: str, id_col: str = "doc_id") -> DataFrame:
-    """Rows whose id occurs in ``pairs``; a filter ahead of shipping wide rows.
+    """Rows whose id occurs in ``pairs``; a semi-join ahead of shipping wide rows.
 
-    A Bloom filter of the ids is broadcast and drops nearly all other rows where
-    they are scanned, so only wanted rows reach the exact join.
+    The distinct ids are staged and counted while they are written. Up to
+    ``BROADCAST_BYTES`` in memory they are broadcast and rows are dropped where
+    they are scanned; beyond, both sides sort and merge, and Spark's own runtime
+    filters, if the session has them on, drop rows ahead of the shuffle.
     """
-    ids = stage(pairs.select(F.explode(F.array(a, b)).alias(id_col)).distinct(), "wanted")
-    held = F.broadcast(id_filter(ids, ids.count(), id_col))
-    passes = [
-        F.call_function(
-            "shiftright", F.get("words", F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")
-        ).bitwiseAND(F.lit(1)) == 1
-        for at in _probes(rows[id_col], F.col("bits"))
-    ]
-    likely = rows.join(held, passes[0] & passes[1] & passes[2], "left_semi")
-    return likely.join(ids, id_col, "left_semi")
+    ids = pairs.select(F.explode(F.array(a, b)).alias(id_col)).distinct()
+    ids, seen = stage_observed(ids, "wanted")
+    small = seen["rows"] * ID_BYTES <= BROADCAST_BYTES
+    return rows.join(F.broadcast(ids) if small else ids.hint("merge"), id_col, "left_semi")
 
 
 def attach_jaccard(

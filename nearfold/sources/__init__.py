@@ -1,7 +1,7 @@
 """Sources, sinks and intermediate tables."""
 
 from nearfold.sources.corpus import corpus_prefix, load_corpus, prefix_cutoff, prefix_size, spread
-from nearfold.sources.scratch import release, scratch_root, stage
+from nearfold.sources.scratch import release, scratch_root, stage, stage_observed
 from nearfold.sources.tables import read_csv, write_csv, write_text
 
 __all__ = [
@@ -14,6 +14,7 @@ __all__ = [
     "scratch_root",
     "spread",
     "stage",
+    "stage_observed",
     "write_csv",
     "write_text",
 ]

@@ -7,7 +7,8 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 #: Masters whose driver and tasks share one machine and one process.
 ONE_PROCESS = re.compile(r"local(\[.*\])?")
@@ -47,6 +48,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_observed(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict[str, int]]:
+    """:func:`stage`, and the rows (and other aggregates) seen while writing: no job of their own.
+
+    A measure that saw no row is zero.
+    """
+    seen = Observation()
+    counted = [F.count(F.lit(1)).alias("rows"), *(m.alias(k) for k, m in measures.items())]
+    table = stage(df.observe(seen, *counted), name)
+    return table, {name: seen.get.get(name) or 0 for name in ("rows", *measures)}
+
+
 def release(*tables: DataFrame) -> None:
     """Remove the files of staged ``tables``. Nothing that reads them may run any more."""
     for table in tables:

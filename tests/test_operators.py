@@ -1,7 +1,9 @@
 import random
 import re
+from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from nearfold.operators import (
     verify_candidates,
 )
 from nearfold.operators.classes import class_members, collapse, expand_pairs
+from nearfold.operators.lsh import class_candidates
 from nearfold.operators.tiling import all_pairs, pairs_within, tiled_join
 from tests import brute
 
@@ -152,8 +155,8 @@ def test_hot_key_is_dealt_into_tiles(spark, monkeypatch):
 
     rows = spark.range(400).selectExpr("id AS doc_id", "if(id % 2 = 0, 0, id) AS g")
     want = 200 * 199 // 2
-    for limit in (tiling.BROADCAST_KEYS, 0):  # hot keys broadcast, or joined with salt
-        monkeypatch.setattr(tiling, "BROADCAST_KEYS", limit)
+    for limit in (tiling.BROADCAST_BYTES, 0):  # shared keys broadcast, or sorted and merged
+        monkeypatch.setattr(tiling, "BROADCAST_BYTES", limit)
         assert pairs_within(rows, ["g"], tile_rows=20).count() == want
     placed = tiling._place(
         rows.where("g = 0"), "doc_id", tiling.tile_count(F.lit(200), 20)
@@ -161,42 +164,87 @@ def test_hot_key_is_dealt_into_tiles(spark, monkeypatch):
     assert placed.agg(F.max("count")).first()[0] < 2 * 45
     monkeypatch.undo()
     plan = pairs_within(rows, ["g"], tile_rows=20)._jdf.queryExecution().executedPlan().toString()
-    # Tiles are dealt from the broadcast list of hot keys; rows are shuffled by tile only.
+    # Sizes come from the broadcast list of shared keys; rows are shuffled by tile only.
     shuffles = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
     assert "BroadcastHashJoin" in plan and shuffles and all("_lo" in keys for keys in shuffles)
 
 
-def test_wanted_rows_are_filtered_at_the_scan(spark, sf_small):
-    from nearfold.operators.verify import referenced
+def test_rows_that_share_no_key_do_not_travel(spark):
+    """Single rows are dropped ahead of the exchange of the self-join."""
+    from nearfold.operators import tiling
+
+    rows = spark.range(1000).selectExpr("id AS doc_id", "if(id < 10, 0, id) AS g")
+    shared, count = tiling.shared_keys(rows, ["g"])
+    assert count == 1 and [tuple(r) for r in shared.collect()] == [(0, 10)]
+    pairs = pairs_within(rows, ["g"])
+    assert pairs.count() == 45
+    plan = pairs._jdf.queryExecution().executedPlan()
+    pairs.collect()
+    written = [int(x) for x in re.findall(r"rowsWritten=(\d+)", _exchange_rows(plan))]
+    assert written and max(written) == 10
+    assert pairs_within(rows.where("doc_id > 9"), ["g"]).count() == 0
+
+
+def _exchange_rows(plan):
+    """``rowsWritten=n`` of every exchange of an executed plan."""
+    found, open_ = [], [plan]
+    while open_:
+        node = open_.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            open_.append(node.executedPlan())
+        elif "QueryStage" in name:
+            open_.append(node.plan())
+        elif name == "Exchange":
+            found.append(f"rowsWritten={node.metrics().apply('shuffleRecordsWritten').value()}")
+        children = node.children()
+        open_ += [children.apply(i) for i in range(children.size())]
+    return " ".join(found)
+
+
+def test_pair_comes_from_its_first_shared_band_only(spark):
+    """Nothing is aggregated above the join, however many bands a pair shares."""
+    rows = [(0, 1, [1, 2, 3, 4]), (1, 1, [9, 2, 3, 4]), (2, 1, [9, 8, 7, 4]), (3, 2, [6, 6, 6, 6])]
+    df = spark.createDataFrame(rows, "rep bigint, docs bigint, band_keys array<bigint>")
+    found = class_candidates(df)
+    assert sorted((r.rep_a, r.rep_b) for r in found.collect()) == [(0, 1), (0, 2), (1, 2)]
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin" in plan and "Aggregate" not in plan
+
+
+def test_wanted_rows_are_filtered_at_the_scan(spark, sf_small, monkeypatch):
+    from nearfold.operators import verify
 
     docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
     pairs = spark.createDataFrame([(1, 7), (7, 30), (5, 10**12)], "doc_a bigint, doc_b bigint")
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        kept = referenced(docs, pairs, "doc_a", "doc_b")
+    for limit, join in ((verify.BROADCAST_BYTES, "BroadcastHashJoin"), (0, "SortMergeJoin")):
+        monkeypatch.setattr(verify, "BROADCAST_BYTES", limit)
+        kept = verify.referenced(docs, pairs, "doc_a", "doc_b")
         assert {r.doc_id for r in kept.collect()} == {1, 5, 7, 30}
         plan = kept._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-    plan = plan.split("Initial Plan")[0]
-    assert plan.index("SortMergeJoin") < plan.index("BroadcastNestedLoopJoin") < plan.index("FileScan")
-    between = plan[plan.index("SortMergeJoin") : plan.index("BroadcastNestedLoopJoin")]
-    assert "Exchange hashpartitioning(doc_id" in between
+        assert join in plan and "LeftSemi" in plan
 
 
-def test_id_filter_drops_most_other_ids(spark):
-    from pyspark.sql import functions as F
+def test_frequency_sketch_bounds_counts(spark, monkeypatch):
+    from nearfold.operators import exact
 
-    from nearfold.operators import verify
-
-    ids = spark.range(5000).selectExpr("id * 3 AS doc_id")
-    held = verify.id_filter(ids, 5000)
-    row = held.first()
-    assert row.bits == 1 << 16 and len(row.words) == 1 << 10
-    docs = spark.range(30000).selectExpr("id AS doc_id")
-    pairs = ids.select(F.col("doc_id").alias("doc_a"), F.col("doc_id").alias("doc_b"))
-    assert verify.referenced(docs, pairs, "doc_a", "doc_b").count() == 5000
+    rng = random.Random(4)
+    rows = [(i, sorted(rng.sample(range(500), 40))) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id bigint, shingles array<int>").repartition(3)
+    true = Counter(x for _, s in rows for x in s)
+    want = sorted(exact_pairs(df, 0.1).collect())
+    for bits in (20, 12):  # at 12 bits one stretch, and shingles that share counters
+        monkeypatch.setattr(exact, "SKETCH_BITS", bits)
+        sketch = exact.frequency_sketch(df)
+        cells = exact._cell(np.arange(500))
+        assert all(sketch[cells[x]] >= n for x, n in true.items()) and sketch.sum() == 2000
+        placed, most = exact.rarest_first(df)
+        assert most == sketch.max()
+        for r in placed.collect():
+            assert r.n == 40 and sorted(r.shingles) == rows[r.doc_id][1]
+            assert r.shingles == sorted(r.shingles, key=lambda x: (sketch[cells[x]], x))
+        assert sorted(exact_pairs(df, 0.1).collect()) == want
+    assert exact.frequency_sketch(df.limit(0)).sum() == 0 and exact_pairs(df.limit(0), 0.5).count() == 0
 
 
 @pytest.mark.parametrize("limit", [0, 1 << 26])
