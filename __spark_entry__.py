@@ -52,6 +52,7 @@ from nearfold.plans import (  # noqa: E402
     estimator_error,
     near_duplicates,
     param_sweep,
+    run_near_duplicates,
     scalability_counts,
 )
 from nearfold.plans.estimator import SIGNATURE_LENGTHS  # noqa: E402
@@ -277,6 +278,11 @@ def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, swept.schema)
 
 
+def q_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phases of a run with their rows, without the seconds."""
+    return run_near_duplicates(corpus(spark, sf_dir), PARAMS).metrics(spark).select("phase", "rows")
+
+
 def q_top_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_pairs(spark, sf_dir).withColumn("rank", F.col("rank").cast("bigint"))
 
@@ -327,6 +333,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "example_lines": q_example_lines,
         "audit_report": q_audit_report,
         "csv_round_trip": q_csv_round_trip,
+        "run_metrics": q_run_metrics,
     }
 
 
@@ -628,4 +635,8 @@ FROM counted""",
         "example_lines": f"WITH {TOP} {EXAMPLE_LINES}",
         "audit_report": sql_audit_report(),
         "csv_round_trip": sql_sweep(),
+        "run_metrics": f"""WITH {NEAR}
+SELECT 'sketching' AS phase, (SELECT count(*) FROM documents) AS rows
+UNION ALL SELECT 'lsh', (SELECT count(*) FROM candidates)
+UNION ALL SELECT phase, (SELECT count(*) FROM pairs) FROM (VALUES ('verification'), ('total')) t(phase)""",
     }

@@ -4,22 +4,22 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearfold.operators.classes import collapse, inner_pairs, pair_weight
 from nearfold.operators.exact import exact_pairs
 from nearfold.operators.lsh import class_candidates
 from nearfold.operators.shingling import shingle_sets
 from nearfold.params import Params
 from nearfold.plans.near_duplicates import NearDuplicates, clean
 from nearfold.sources.corpus import prefix_cutoff, prefix_size
+from nearfold.sources.scratch import stage
 
 # Fixed values of the study: corpus shares.
 FRACTIONS = (0.10, 0.25, 0.50, 1.00)
 
+COUNTS_SCHEMA = "num_docs bigint, fraction double, method string, num_pairs_found bigint"
 SCALABILITY_SCHEMA = (
     "num_docs bigint, fraction double, method string, runtime_seconds double, "
     "num_pairs_found bigint"
@@ -35,20 +35,26 @@ def prefixes(
     return [(fraction, n, prefix_cutoff(docs, n)) for fraction, n in sizes]
 
 
-def count_candidates(sketches: DataFrame) -> DataFrame:
-    """One row ``num_pairs_found``: candidate pairs among the sketches, via class form."""
-    classes = collapse(sketches, ["text_key"], ["band_keys"])
-    pairs = class_candidates(classes).unionByName(inner_pairs(classes))
-    return pairs.agg(F.coalesce(F.sum(pair_weight()), F.lit(0)).alias("num_pairs_found"))
+def count_candidates(sketches: DataFrame, lasts: Sequence[int]) -> DataFrame:
+    """One row ``counts array<bigint>``: candidate pairs in each prefix that ends at one of ``lasts``.
 
-
-def _labelled(found: DataFrame, n: int, fraction: float, method: str) -> DataFrame:
-    return found.select(
-        F.lit(n).cast("bigint").alias("num_docs"),
-        F.lit(fraction).alias("fraction"),
-        F.lit(method).alias("method"),
-        "num_pairs_found",
+    Whether two texts share a band does not depend on the prefix, so the texts
+    of the whole corpus are joined once. A class carries the number of its
+    documents in every prefix, and a pair of classes stands for the product of
+    the two numbers.
+    """
+    held = F.array(*[F.count_if(F.col("doc_id") <= last) for last in lasts])
+    classes = sketches.groupBy("text_key").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("docs"),
+        F.first("band_keys").alias("band_keys"), held.alias("held"),
     )
+    classes = stage(classes, "prefix-classes")
+    across = F.zip_with("held_a", "held_b", lambda x, y: x * y)
+    within = F.transform("held", lambda n: F.floor(n * (n - 1) / 2))
+    weights = class_candidates(classes, ["held"]).select(across.alias("w"))
+    weights = weights.unionByName(classes.where("docs > 1").select(within.alias("w")))
+    sums = [F.coalesce(F.sum(F.get("w", F.lit(i))), F.lit(0)) for i in range(len(lasts))]
+    return weights.agg(F.array(*sums).alias("counts"))
 
 
 def scalability_counts(
@@ -58,34 +64,32 @@ def scalability_counts(
 ) -> DataFrame:
     """``(num_docs, fraction, method, num_pairs_found)`` without timings.
 
-    All prefixes share one pass over the texts. Method ``lsh`` counts
+    All prefixes share one pass over the texts and one join of each method. Method ``lsh`` counts
     candidates, ``brute_force`` true pairs.
     """
     params = params or Params()
     cuts = [cut for cut in prefixes(docs, fractions) if cut[2] is not None]
-    sketches = NearDuplicates(docs, params).sketches
+    if not cuts:
+        return docs.sparkSession.createDataFrame([], COUNTS_SCHEMA)
+    lasts = [last for _, _, last in cuts]
+
+    def labelled(i: int, method: str, found: Column) -> Column:
+        fraction, n, _ = cuts[i]
+        return F.struct(
+            F.lit(n).cast("bigint").alias("num_docs"), F.lit(fraction).alias("fraction"),
+            F.lit(method).alias("method"), found.alias("num_pairs_found"),
+        )
+
+    within = docs.where(F.col("doc_id") <= max(lasts))
+    banded = count_candidates(NearDuplicates(within, params).sketches, lasts)
+    truth = exact_pairs(shingle_sets(clean(within), params.k), params.threshold)
+    # A pair lies in a prefix if its larger id does: one pass counts them all.
+    exact = truth.agg(F.array(*[F.count_if(F.col("doc_b") <= last) for last in lasts]).alias("counts"))
     rows = [
-        _labelled(count_candidates(sketches.where(F.col("doc_id") <= last)), n, fraction, "lsh")
-        for fraction, n, last in cuts
+        counts.select(F.inline(F.array(*[labelled(i, method, F.get("counts", F.lit(i))) for i in range(len(cuts))])))
+        for counts, method in ((banded, "lsh"), (exact, "brute_force"))
     ]
-    if cuts:
-        widest = max(last for _, _, last in cuts)
-        sets = shingle_sets(clean(docs.where(F.col("doc_id") <= widest)), params.k)
-        truth = exact_pairs(sets, params.threshold)
-        # A pair lies in a prefix if its larger id does: one pass counts them all.
-        held = F.array(
-            *[
-                F.struct(
-                    F.lit(n).cast("bigint").alias("num_docs"),
-                    F.lit(fraction).alias("fraction"),
-                    F.lit("brute_force").alias("method"),
-                    F.count_if(F.col("doc_b") <= last).alias("num_pairs_found"),
-                )
-                for fraction, n, last in cuts
-            ]
-        )
-        rows.append(truth.agg(held.alias("held")).select(F.inline("held")))
-    return reduce(DataFrame.unionByName, rows)
+    return rows[0].unionByName(rows[1])
 
 
 def timed_scalability(
@@ -99,7 +103,7 @@ def timed_scalability(
     for fraction, n, last in prefixes(docs, fractions):
         prefix = docs.where(F.col("doc_id") <= last)
         methods = {
-            "lsh": lambda: count_candidates(NearDuplicates(prefix, params).sketches).first()[0],
+            "lsh": lambda: count_candidates(NearDuplicates(prefix, params).sketches, [last]).first()[0][0],
             "brute_force": lambda: exact_pairs(
                 shingle_sets(clean(prefix), params.k), params.threshold
             ).count(),
