@@ -39,9 +39,8 @@ from nearfold.sources.scratch import stage
 
 PIVOTS = 256
 PREFIX = 64
-RERANK = 0.1
-#: At least so many rows of a block are compared exactly: in a small block the nearest are a larger share.
-LEAST_RERANK = 2_000
+#: Share of each block that is compared exactly, at every size.
+RERANK = 0.25
 BLOCK_ROWS = 16_384
 QUERY_ROWS = 16_384
 K = 20
@@ -120,7 +119,7 @@ def search(
     files = InvertedFiles(permutations(raised(vectors, norm), pivots, prefix), len(pivots))
     plain = asked / np.sqrt((asked * asked).sum(axis=1, keepdims=True))
     perms = permutations(np.column_stack([plain, np.zeros(len(plain))]).astype(np.float32), pivots, prefix)
-    wanted = min(len(vectors), max(k + 1, LEAST_RERANK, int(np.ceil(rerank * len(vectors)))))
+    wanted = min(len(vectors), max(k + 1, int(np.ceil(rerank * len(vectors)))))
     for i, perm in enumerate(perms):
         close = files.closeness(perm)
         last = np.partition(close, len(close) - wanted)[len(close) - wanted]

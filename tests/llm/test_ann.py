@@ -62,12 +62,12 @@ def test_whole_table(spark):
 
 
 def test_many_equal_vectors(spark):
-    """A third of all rows holds one vector: ties go to the smaller ids, none is lost."""
+    """A third of all rows holds one vector: ties go to the smaller ids, none is lost (whole blocks compared)."""
     rng = np.random.default_rng(5)
     vectors = rng.normal(size=(900, 8))
     vectors[::3] = vectors[0]
     frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
-    found = nearest(frame, F.col("vec_id") % 90 == 0, k=5, block_rows=100, query_rows=4).toPandas()
+    found = nearest(frame, F.col("vec_id") % 90 == 0, k=5, rerank=1.0, block_rows=100, query_rows=4).toPandas()
     for query, rows in found.groupby("query_id"):
         assert list(zip(rows.sort_values("rank").vec_id, rows.sort_values("rank").score, strict=True)) == exact(
             np.arange(900), vectors, query, 5
