@@ -64,14 +64,16 @@ def fit_dictionaries(
 ) -> dict[str, bytes]:
     """Dictionary of each label, from a bounded sample of the labelled rows of ``docs``."""
     rows = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(F.col(label_col)).count().collect()}
+    digest = F.xxhash64(text_col)
+    # Distinct texts: the draw is by hash of the text, so copies are drawn as one.
+    distinct = rows.groupBy(F.col(label_col)).agg(F.approx_count_distinct(digest))
+    counts = {r[0]: r[1] for r in distinct.collect()}
     if not counts:
         return {}
     span = 1 << 30
     # Twice the rows wanted, as some repeat; the rest is cut off in the order of the hash.
     shares = [(k, min(span, int(2 * sample_rows * span / n) + 1)) for k, n in counts.items()]
     share = F.broadcast(docs.sparkSession.createDataFrame(shares, "label string, share long"))
-    digest = F.xxhash64(text_col)
     drawn = (
         rows.select(F.col(label_col).alias("label"), digest.alias("h"), F.col(text_col).alias("t"))
         .join(share, "label")

@@ -66,3 +66,18 @@ def test_filter_keeps_columns_and_clear_texts(spark):
     kept = drop_unidentified(awkward(spark))
     assert kept.columns == awkward(spark).columns
     assert not {2, 3, 4, 8} & {r.doc_id for r in kept.collect()}
+
+
+def test_many_copies_do_not_displace_a_language(spark):
+    """20,000 copies of one page: the other texts of its language are learned all the same."""
+    import random
+
+    draw = random.Random(2)
+    english = ["".join(draw.choices("abcdefghij ", k=300)) for _ in range(300)]
+    german = ["".join(draw.choices("klmnopqrst ", k=300)) for _ in range(300)]
+    rows = [(t, "en") for t in english] + [(t, "de") for t in german]
+    few = spark.createDataFrame(rows, "text string, lang string")
+    copies = spark.range(20_000).selectExpr("'one and the same page' AS text", "'en' AS lang")
+    plain, crowded = fit_dictionaries(few), fit_dictionaries(few.unionByName(copies))
+    assert set(crowded) == {"de", "en"} and crowded["de"] == plain["de"]
+    assert len(crowded["en"]) > 0.8 * len(plain["en"])
