@@ -50,14 +50,14 @@ from nearfold.llm.lm import large_counts, pack_array, small_counts, unpack_array
 from nearfold.sources.scratch import release, stage
 
 #: Bytes of text in a block (a longer text has a block alone).
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 20
 PARTS = 64
 FAN = 256
 #: Bits per key in a level of a hash, and levels before the rest is listed.
 GAMMA = 2
 LEVELS = 24
 #: Texts aligned at once, by tokens of A.
-SLICE_TOKENS = 1 << 18
+SLICE_TOKENS = 1 << 17
 #: Runs of white space from this length on need the slower of two encoders.
 LONG_SPACE = 10_000
 #: Fixed value: how the byte-level vocabulary splits a text before merging.
@@ -218,7 +218,7 @@ class Alignment:
 
 
 def ids_of(column: pa.Array | pa.ChunkedArray, dtype: type) -> list[np.ndarray]:
-    return [np.frombuffer(v.as_py(), dtype) for v in column]
+    return [unpack_array(v.as_py(), dtype) for v in column]
 
 
 def runs(a: list[np.ndarray], b: list[np.ndarray]) -> Iterator[tuple[list, list]]:
@@ -234,7 +234,7 @@ def runs(a: list[np.ndarray], b: list[np.ndarray]) -> Iterator[tuple[list, list]
 def encoded(
     docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str, block_bytes: int
 ) -> DataFrame:
-    """``(block, id, a, b)`` with the ids as binary, staged; a block's number is that of its first row."""
+    """``(block, id, a, b)`` with the ids packed, staged; a block's number is that of its first row."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, block, held = tokenizers_of(path_a, path_b), None, 0
@@ -247,7 +247,7 @@ def encoded(
                 held += len(text)
                 out.append(block)
                 for ids, to in zip(pair.tokens(text), (a, b), strict=True):
-                    to.append(np.array(ids, pair.dtype).tobytes())
+                    to.append(pack_array(np.array(ids, pair.dtype)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out, pa.int64()), batch.column(1), pa.array(a, pa.binary()), pa.array(b, pa.binary())],
                 ["block", "id", "a", "b"],
