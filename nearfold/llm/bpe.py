@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 #: Characters of text that are taken through the rounds at once (a longer text alone).
 SLICE_CHARS = 1 << 20
-CACHE_WORDS = 1 << 17
+CACHE_WORDS = 1 << 19
 CACHE_BYTES = 1 << 23
 _NONE = np.uint32(0xFFFFFFFF)
 _SIGMA = "Σ"
