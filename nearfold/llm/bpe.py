@@ -15,9 +15,10 @@ ways to the same token allow that). Runs of one symbol merge from the left. Word
 are cut ahead of the rounds between bytes that stand side by side in no token:
 no merge can cross there, so a word of any length costs little more than its parts.
 
-Encoded stretches are kept for the next batches, up to ``CACHE_WORDS`` of them and
-``CACHE_BYTES`` bytes, then forgotten: the result does not depend on it. Nothing
-is shuffled. The vocabulary is read from ``path`` once a Python worker; every
+Stretches between spaces, and the words they hold, are kept for the next batches, up to
+``CACHE_WORDS`` stretches and ``CACHE_BYTES`` characters, then forgotten: the result does not
+depend on it. New stretches are normalised and split together, joined by spaces, which
+no word holds and which nothing composes with. Nothing is shuffled. The vocabulary is read from ``path`` once a Python worker; every
 worker must be able to open it.
 
 Defined cases: null and empty texts have no ids; a null list of ids decodes to
@@ -35,6 +36,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tokenizers
 from pyspark.sql import Column
@@ -87,7 +89,8 @@ class Vocabulary:
         )
         split = next(p for p in told["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         pattern = split["pattern"]["Regex"]
-        self.words = regex.compile(pattern)
+        #: Words, and the spaces between stretches.
+        self.words = regex.compile(f"(?:{pattern})|\\x20")
         self.normalizer = tokenizers.Tokenizer.from_file(path).normalizer
         self.splitter = tokenizers.pre_tokenizers.Split(tokenizers.Regex(pattern), "removed", True)
         letters = byte_letters()
@@ -182,13 +185,18 @@ class Vocabulary:
         word_of_part = np.repeat(np.arange(len(raw)), sizes)[np.flatnonzero(cut)]
         return np.bincount(word_of_part[part_of], minlength=len(raw)), ids
 
-    def split(self, text: str) -> list[str]:
-        """Words of the normalised text."""
+    def split(self, stretches: list[str]) -> list[str]:
+        """Words of the normalised stretches, with a space between two stretches."""
+        text = " ".join(stretches)
         if text.isascii():
             return self.words.findall(text.lower())
-        if any(unicodedata.category(c) == "Cn" for c in text):
+        if any(unicodedata.category(c) == "Cn" for c in set(text)):
             # Characters newer than these tables: the library's own tables decide what they are.
-            return [word for word, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))]
+            found = []
+            for stretch in stretches:
+                found.append(" ")
+                found.extend(w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(stretch)))
+            return found[1:]
         return self.words.findall(normalised(text))
 
 
@@ -199,39 +207,59 @@ def normalised(text: str) -> str:
     return "σ".join(part.lower() for part in text.split(_SIGMA))
 
 
+class _Lists:
+    """Lists of ids by number, in one flat array."""
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray):
+        self.ids, self.counts = ids, counts
+        self.begins = np.cumsum(counts) - counts
+
+    def add(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        begins = np.cumsum(counts) - counts + len(self.ids)
+        self.ids = np.concatenate((self.ids, ids))
+        self.counts = np.concatenate((self.counts, counts))
+        self.begins = np.concatenate((self.begins, begins))
+
+    def take(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the wanted lists in a row, and how many each has."""
+        sizes = self.counts[wanted]
+        ends = np.cumsum(sizes)
+        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begins[wanted] - ends + sizes, sizes)
+        return self.ids[place], sizes
+
+
 class Encoder:
     """A vocabulary and the stretches between spaces that it has encoded lately."""
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
+        self.token_texts = pa.array(self.vocabulary.tokens, pa.string())
         self._forget()
 
     def _forget(self) -> None:
         """Only the special tokens are known, each as a stretch of its own."""
-        self.index, self.held = _Index(), 0
+        self.index, self.words, self.held = _Index(), _Index(), 0
         for special in self.vocabulary.special:
             self.index[special]
         self.index.new = []
-        self.ids = np.fromiter(self.vocabulary.special.values(), np.int32)
-        self.counts = np.ones(len(self.ids), np.int64)
-        self.begins = np.arange(len(self.ids))
+        self.words[" "], self.words.new = 0, []
+        self.word_ids = _Lists(_NO_IDS, np.zeros(1, np.int64))
+        special = np.fromiter(self.vocabulary.special.values(), np.int32)
+        self.stretch_ids = _Lists(special, np.ones(len(special), np.int64))
 
     def _take(self, stretches: list[str]) -> None:
         """Encodes ``stretches``, which the index has numbered in this order."""
-        words = _Index()
-        numbers, sizes = [], []
-        for stretch in stretches:
-            found = self.vocabulary.split(stretch)
-            sizes.append(len(found))
-            numbers.extend(map(words.__getitem__, found))
+        found = self.vocabulary.split(stretches)
+        numbers = np.fromiter(map(self.words.__getitem__, found), np.int64, len(found))
         self.held += sum(map(len, stretches))
-        lengths, word_ids = self.vocabulary.encode_words(words.new)
-        ids, counts = gathered(word_ids, np.cumsum(lengths) - lengths, lengths, np.array(numbers, np.int64))
+        new, self.words.new = self.words.new, []
+        if new:
+            lengths, ids = self.vocabulary.encode_words(new)
+            self.word_ids.add(ids, lengths)
+        ids, counts = self.word_ids.take(numbers)
         ends = np.concatenate(([0], np.cumsum(counts)))
-        bounds = ends[np.concatenate(([0], np.cumsum(np.array(sizes, np.int64))))]
-        self.ids = np.concatenate((self.ids, ids))
-        self.counts = np.concatenate((self.counts, np.diff(bounds)))
-        self.begins = np.cumsum(self.counts) - self.counts
+        spaces = np.flatnonzero(numbers == 0)  # a space is word 0 and has no ids
+        self.stretch_ids.add(ids, np.diff(ends[np.concatenate(([0], spaces, [len(numbers)]))]))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each text, and all ids in a row."""
@@ -247,21 +275,11 @@ class Encoder:
         new, self.index.new = self.index.new, []
         if new:
             self._take(new)
-        ids, counts = gathered(self.ids, self.begins, self.counts, np.array(numbers, np.int64))
+        ids, counts = self.stretch_ids.take(np.array(numbers, np.int64))
         ends = np.concatenate(([0], np.cumsum(counts)))
         return np.diff(ends[bounds]), ids
 
 
-def gathered(
-    ids: np.ndarray, begins: np.ndarray, counts: np.ndarray, wanted: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of the wanted stretches in a row, and how many each has."""
-    sizes = counts[wanted]
-    ends = np.cumsum(sizes)
-    place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[wanted] - ends + sizes, sizes)
-    return ids[place], sizes
-
-
 @cache
 def encoder(path: str) -> Encoder:
     return Encoder(path)
@@ -301,10 +319,13 @@ def bpe_decode(ids: Column | str, path: str) -> Column:
 
     @F.arrow_udf("string")
     def decode_batch(lists: pa.Array) -> pa.Array:
-        tokens = encoder(path).vocabulary.tokens
-        ids, known = [row.values.to_numpy() if row.is_valid else _NO_IDS for row in lists], len(tokens)
-        return pa.array(
-            [" ".join([tokens[i] for i in row[(row >= 0) & (row < known)].tolist()]) for row in ids], pa.string()
-        )
+        tokens = encoder(path).token_texts
+        flat = lists.flatten()
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+        ids = pc.fill_null(flat, -1).to_numpy()
+        known = (ids >= 0) & (ids < len(tokens))
+        ends = np.concatenate(([0], np.cumsum(known)))[np.concatenate(([0], np.cumsum(sizes)))]
+        kept = tokens.take(pa.array(ids[known]))
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), kept), " ")
 
     return decode_batch(F.col(ids) if isinstance(ids, str) else ids)

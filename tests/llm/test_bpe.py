@@ -96,3 +96,20 @@ def test_awkward_rows(spark, library):
     assert out.limit(0).count() == 0
     odd = spark.createDataFrame([(None,), ([],), ([1, 999_999, -1],)], "ids array<int>")
     assert [r.t for r in odd.select(bpe.bpe_decode(F.col("ids"), PATH).alias("t")).collect()] == ["", "", '"']
+
+
+def test_stretches_split_together():
+    """Split one by one or together, with the library's tables or without: the same words."""
+    stretches = ["", "Ab", "", "é-É", "ΑΣ", "́x", "a\tb\nC'S", "12'll", ""]
+    vocabulary = bpe.encoder(PATH).vocabulary
+    found = vocabulary.split(stretches)
+    words, lists = [], []
+    for word in [*found, " "]:
+        if word == " ":
+            lists.append(words)
+            words = []
+        else:
+            words.append(word)
+    assert lists == [vocabulary.split([s]) for s in stretches]
+    newer = [*stretches, "\U0010fffe"]  # never assigned
+    assert vocabulary.split(newer)[: len(found)] == found
