@@ -7,13 +7,17 @@ largest id is stored and the others are ``revisit`` records that refer to it.
 Who refers to whom is decided on digests and ids alone; payloads are not
 shuffled unless more than ``BROADCAST_IDS`` pages are revisits.
 
-The reader takes whole files (plain, gzip with one member a record, or both mixed), checks
+The reader takes whole files (plain, gzip with one or several records a member, or both mixed), checks
 every record (version line, header lines, length, the blank lines behind the
 block, block and payload digest) and after a failed check searches for the next
 place where a record can begin: a gzip member that inflates, or a version line
 (not only at the start of a line, as the record before may be cut) whose record
 passes. What it skips is reported as a gap with
-its byte range and cause; later records are recovered. A file is one row for
+its byte range and cause; later records are recovered. Inside a member the same search runs over
+the inflated bytes; the gaps of a member are one row ahead of its records, with the file range of
+the member, and the cause names the inflated ranges. Of a member that is cut or fails its own check, what inflates up to the fault is searched,
+and only records whose stated digest was compared are recovered. A member is inflated up
+to ``MAX_INFLATED`` bytes, what Spark can hold in one value; the rest is a gap. A file is one row for
 Spark and must be under 2 GB.
 
 Defined cases: null html is an empty payload; null url and null id leave their
@@ -45,6 +49,8 @@ _MEMBER = b"\x1f\x8b\x08"
 _HEADER = re.compile(r"[!#$%&'*+.^_`|~0-9A-Za-z-]+:.*", re.S)
 #: The end of a header is looked for here first.
 MAX_HEADER_BYTES = 1 << 16
+MAX_INFLATED = (1 << 31) - 1
+_STEP = 1 << 16
 
 
 # -- writing ----------------------------------------------------------------
@@ -158,17 +164,22 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     if data[end : end + 4] != END.encode():
         raise Damaged("block not ended")
     block = data[begin:end]
-    digest = hashlib.sha1(block).hexdigest()
-    for name in ("warc-block-digest", "warc-payload-digest"):
-        stated = headers.get(name, "")
-        whole_block = name == "warc-block-digest" or headers.get("warc-type") == "response"
-        if stated.startswith("sha1:") and len(stated) == 45 and whole_block and stated[5:] != digest:
-            # A payload inside HTTP headers has its own digest; only bare payloads can be checked.
-            if name == "warc-block-digest" or not headers.get("content-type", "").startswith("application/http"):
-                raise Damaged(name)
+    digest = f"sha1:{hashlib.sha1(block).hexdigest()}"
+    for name in compared_digests(headers):
+        if headers[name] != digest:
+            raise Damaged(name)
     return headers, block, end + 4
 
 
+def compared_digests(headers: dict[str, str]) -> list[str]:
+    """The digest headers that are held against the block."""
+    stated = {n for n, v in headers.items() if v.startswith("sha1:") and len(v) == 45}
+    # A payload inside HTTP headers has its own digest; only bare payloads can be checked.
+    bare = headers.get("warc-type") == "response" and not headers.get("content-type", "").startswith("application/http")
+    names = ["warc-block-digest", "warc-payload-digest"] if bare else ["warc-block-digest"]
+    return [n for n in names if n in stated]
+
+
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict[str, str] | None, bytes | None, str | None]]:
     """``(kind, start, end, headers, block, cause)``; kind: record or gap, in order, covering the file."""
     places = {"line": -1, "member": -1}
@@ -187,10 +198,15 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict[str, str] | None,
     while at < len(data):
         try:
             if data[at : at + 3] == _MEMBER:
-                records, end = _member_records(data, at)
+                inflated, end, fault = _inflate(data, at)
+                records, gaps = _member_rows(inflated, fault)
+                if not records and (fault or gaps):
+                    raise Damaged(fault or gaps)
+                if end is None:  # the member's end is unknown: it lasts to the next place where a record can begin
+                    end = following(at + 1)
             else:
                 headers, block, end = parse_record(data, at)
-                records = [(headers, block)]
+                records, gaps = [(headers, block)], None
         except Damaged as failed:
             if lost is None:
                 lost, cause = at, str(failed)
@@ -199,6 +215,8 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict[str, str] | None,
         if lost is not None:
             yield "gap", lost, at, None, None, cause
             lost = None
+        if gaps:
+            yield "gap", at, end, None, None, gaps
         for headers, block in records:
             yield "record", at, end, headers, block, None
         at = end
@@ -206,28 +224,59 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict[str, str] | None,
         yield "gap", lost, len(data), None, None, cause
 
 
-def _inflate(data: bytes, at: int) -> tuple[bytes, int]:
-    """Contents and end of the gzip member at ``at``; fed in steps, so that no step copies the rest."""
-    inflater, parts, end = zlib.decompressobj(wbits=31), [], at
-    try:
-        while not inflater.eof and end < len(data):
-            parts.append(inflater.decompress(data[end : end + 65536]))
-            end = min(end + 65536, len(data))
-    except zlib.error as error:
-        raise Damaged("gzip data") from error
+def _inflate(data: bytes, at: int) -> tuple[bytes, int | None, str | None]:
+    """Contents of the gzip member at ``at``, and its end; or what precedes a fault, None and the fault.
+
+    Fed in steps, so that no step copies the rest.
+    """
+    inflater, parts, held, end, step = zlib.decompressobj(wbits=31), [], 0, at, _STEP
+    while not inflater.eof and end < len(data):
+        before = inflater.copy(), len(parts), held
+        try:
+            piece = data[end : end + step]
+            while piece and not inflater.eof:
+                parts.append(inflater.decompress(piece, _STEP * 16))
+                held += len(parts[-1])
+                if held > MAX_INFLATED:
+                    return b"".join(parts)[:MAX_INFLATED], None, "gzip member too large"
+                piece = inflater.unconsumed_tail
+            end = min(end + step, len(data))
+        except zlib.error:
+            if step == 1:
+                return b"".join(parts), None, "gzip data"
+            # Again from before this step, a byte at a time, to keep what precedes the fault.
+            inflater, count, held = before
+            del parts[count:]
+            step = 1
     if not inflater.eof:
-        raise Damaged("gzip member not ended")
-    return b"".join(parts), end - len(inflater.unused_data)
+        return b"".join(parts), None, "gzip member not ended"
+    return b"".join(parts), end - len(inflater.unused_data), None
 
 
-def _member_records(data: bytes, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
-    """Headers and blocks of the records in the gzip member at ``at``, and its end."""
-    inflated, end = _inflate(data, at)
-    records, inner = [], 0
-    while inner < len(inflated):
-        headers, block, inner = parse_record(inflated, inner)
+def _member_rows(inflated: bytes, fault: str | None) -> tuple[list[tuple[dict[str, str], bytes]], str | None]:
+    """Headers and blocks of the records in a member, and the causes of its gaps with their inflated ranges."""
+    records, gaps, at, lost, cause = [], [], 0, None, None
+    while at < len(inflated):
+        try:
+            headers, block, end = parse_record(inflated, at)
+            if fault and not compared_digests(headers):
+                raise Damaged(f"{fault}, no digest")
+        except Damaged as failed:
+            if lost is None:
+                lost, cause = at, str(failed)
+            line = _VERSION_LINE.search(inflated, at + 1)
+            at = line.start() if line else len(inflated)
+            continue
+        if lost is not None:
+            gaps.append(f"{cause}, inflated bytes {lost} to {at}")
+            lost = None
         records.append((headers, block))
-    return records, end
+        at = end
+    if lost is not None:
+        gaps.append(f"{cause}, inflated bytes {lost} to {at}")
+    if fault:
+        gaps.append(f"{fault}, after {at} inflated bytes")
+    return records, "; ".join(gaps) or None
 
 
 READ_SCHEMA = (

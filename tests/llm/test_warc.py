@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from nearfold.llm import warc
 from nearfold.llm.warc import archive_pages, page_rows, parse_record, read_warc, salvage, write_warc
 from tests.llm.helpers import table
 
@@ -85,6 +86,50 @@ def test_plain_and_gzip_records_in_one_file():
             covers(data)
 
 
+def test_one_damaged_record_of_a_member():
+    parts = [record(n, b"payload %d " % n * 50) for n in range(10)]
+    parts[4] = parts[4].replace(b"payload 4", b"payload 5", 1)
+    data = gzip.compress(b"".join(parts)) + gzip.compress(record(10))
+    assert numbers(data) == [f"<urn:page:{n}>" for n in (0, 1, 2, 3, 5, 6, 7, 8, 9, 10)]
+    gaps = [r for r in salvage(data) if r[0] == "gap"]
+    begin = sum(map(len, parts[:4]))
+    assert [g[5] for g in gaps] == [f"warc-payload-digest, inflated bytes {begin} to {begin + len(parts[4])}"]
+    covers(data)
+
+
+@pytest.mark.parametrize("share", [0.9, 0.6])
+def test_member_cut_or_broken_in_the_middle(share):
+    rng = random.Random(3)
+    parts = [record(n, rng.randbytes(9000)) for n in range(20)]
+    packed, after = gzip.compress(b"".join(parts)), record(20)
+    cut = int(len(packed) * share)
+    intact = [f"<urn:page:{n}>" for n in range(int(20 * share) - 1)]
+    found = numbers(packed[:cut] + after)
+    assert found[: len(intact)] == intact and found[-1] == "<urn:page:20>"
+    covers(packed[:cut] + after)
+    # Flipped bytes are stored as they are here; the record that holds them is lost and no other.
+    broken = bytearray(packed)
+    broken[cut] ^= 255
+    found = numbers(bytes(broken) + after)
+    assert len(found) == 20 and found[-1] == "<urn:page:20>"
+
+
+def test_damaged_member_keeps_only_compared_records():
+    plain = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    packed = bytearray(gzip.compress(record(1) + plain))
+    assert [r[0] for r in salvage(bytes(packed))] == ["record", "record"]
+    packed[-6] ^= 1  # the member's own checksum
+    rows = list(salvage(bytes(packed)))
+    assert [r[0] for r in rows] == ["gap", "record"] and rows[0][5].startswith("gzip data, no digest")
+
+
+def test_inflation_is_bounded(monkeypatch):
+    monkeypatch.setattr(warc, "MAX_INFLATED", 1 << 20)
+    data = gzip.compress(record(1) + bytes(64 << 20)) + record(2)
+    assert numbers(data) == ["<urn:page:1>", "<urn:page:2>"]
+    assert next(salvage(data))[5].endswith(f"gzip member too large, after {1 << 20} inflated bytes")
+
+
 def test_very_long_url():
     url = b"data:," + b"x" * 200_000
     long = record(1).replace(b"\r\nContent-Length", b"\r\nWARC-Target-URI: " + url + b"\r\nContent-Length")
