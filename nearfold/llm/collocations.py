@@ -57,6 +57,8 @@ from nearfold.sources.scratch import release, stage
 LEAST = 100
 MOST_WORDS = 5
 TOP = 2_000
+#: Parts of a language's candidates that are ranked apart first.
+RANK_PARTS = 256
 #: One in so many documents is in the sample; phrases are proposed from this count on.
 SAMPLE = 16
 PROPOSED = 3
@@ -439,6 +441,18 @@ def collocations(
     miner = Miner(blocks, least, fan)
     counts = miner.frequent(proposed)
     phrases = named(blocks, counts)
+    return first_of_each(scored(phrases, totals), top)
+
+
+def first_of_each(found: DataFrame, top: int, parts: int = RANK_PARTS) -> DataFrame:
+    """The first ``top`` rows of each language with their ranks.
+
+    Ranked by part of the phrases' hashes first, so that no task sorts more of a
+    language than a part, and at the end than ``top`` rows of each part.
+    """
     order: list[Column] = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    ranked = scored(phrases, totals).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    dealt = found.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
+    within = F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*order))
+    first = dealt.withColumn("_within", within).where(F.col("_within") <= top)
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     return ranked.where(F.col("rank") <= top).select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")

@@ -90,3 +90,18 @@ def test_order_of_ties_is_by_utf8_bytes(spark):
     docs = spark.createDataFrame([("en", "ü b. z b. 🙂 b. ￿ b")], "lang string, text string")
     got = [r.phrase for r in collocations(docs, least=1).orderBy("rank").collect()]
     assert got == sorted(got, key=lambda p: p.encode())
+
+
+def test_rank_by_parts(spark):
+    """Ties at the cut, one language with most rows, one with fewer than ``top``."""
+    from nearfold.llm.collocations import first_of_each
+
+    rows = [("en", f"p{n}", 100 + n % 3, 1, 1, 1, n % 7) for n in range(500)] + [("fr", "x y", 100, 1, 1, 1, 2)]
+    found = spark.createDataFrame(rows, "lang string, phrase string, a long, l long, r long, n long, score long")
+    got = {(r.lang, r.rank, r.phrase) for r in first_of_each(found, 40, 8).collect()}
+    expected = set()
+    for lang in ("en", "fr"):
+        mine = sorted((r for r in rows if r[0] == lang), key=lambda r: (-r[6], -r[2], r[1].encode()))
+        expected |= {(lang, n + 1, r[1]) for n, r in enumerate(mine[:40])}
+    assert got == expected
+    assert first_of_each(found.limit(0), 40).count() == 0
