@@ -260,8 +260,10 @@ def q_jaccard_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def best_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 most similar pairs; only candidates that can be among them are verified."""
     run = near_run(spark, sf_dir)
-    return top_pairs(top_class_pairs(run.compact, run.members), run.docs)
+    found, _ = run.best(20)
+    return top_pairs(top_class_pairs(found, run.members, 20), run.docs)
 
 
 def q_audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:

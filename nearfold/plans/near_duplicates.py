@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -21,9 +22,14 @@ from nearfold.operators.lsh import band_keys, class_candidates
 from nearfold.operators.shingling import shingle_sets
 from nearfold.operators.verify import attach_jaccard, referenced
 from nearfold.params import Params
-from nearfold.sources.scratch import stage
+from nearfold.sources.scratch import stage, stage_observed
 
 CLASS_PAIR = ["rep_a", "rep_b", "docs_a", "docs_b"]
+# Steps into which bounds on similarity are sorted by the top-k search.
+BOUND_STEPS = 1000
+# Candidates verified in its first round at least, and growth of a round over the last.
+FIRST_ROUND = 256
+ROUND_GROWTH = 4
 
 
 def clean(docs: DataFrame, normalize: bool = True, drop_empty: bool = False) -> DataFrame:
@@ -137,6 +143,51 @@ class NearDuplicates:
         columns = [*CLASS_PAIR, "jaccard"]
         return self.class_pairs.select(*columns).unionByName(self.inner.select(*columns))
 
+    def best(self, n: int) -> tuple[DataFrame, int]:
+        """Class-form pairs that hold the ``n`` most similar document pairs, and the candidates verified for it.
+
+        Similarity cannot exceed the ratio of the set sizes. Candidates are
+        verified from the greatest bound down, in rounds of growing size, until
+        ``n`` confirmed document pairs reach what the bounds of all others allow.
+        Pairs inside a class are confirmed from the start. Candidates as similar
+        as the last of the ``n`` are all verified, so ties are decided by ids as
+        in the full result. A round is cut by a count of candidates per step of
+        the bound; nothing is sorted as a whole.
+        """
+        low, high = (f("n_shingles_a", "n_shingles_b") for f in (F.least, F.greatest))
+        bound = low / high
+        bounded = self._plausible(self.class_candidates)
+        step = F.floor(bound * BOUND_STEPS).cast("int")
+        counts = {r["step"]: r["count"] for r in bounded.groupBy(step.alias("step")).count().collect()}
+        confirmed = self.inner.select(*CLASS_PAIR, "jaccard")
+        ahead, size, verified = sorted(counts, reverse=True), max(FIRST_ROUND, ROUND_GROWTH * n), 0
+        while ahead:
+            least = self._nth_score(confirmed, n)
+            ahead = [s for s in ahead if s >= math.floor(least * BOUND_STEPS)]
+            if not ahead:
+                break
+            taken, held = 0, 0
+            while taken < len(ahead) and held < size:
+                held += counts[ahead[taken]]
+                taken += 1
+            now, ahead = ahead[:taken], ahead[taken:]
+            round_ = bounded.where(step.between(now[-1], now[0]) & (bound >= least))
+            round_, seen = stage_observed(round_, "round")
+            confirmed = confirmed.unionByName(stage(self._confirm(round_), "round-pairs").select(*confirmed.columns))
+            verified, size = verified + seen["rows"], size * ROUND_GROWTH
+        return confirmed, verified
+
+    @staticmethod
+    def _nth_score(confirmed: DataFrame, n: int) -> float:
+        """Similarity of the n-th best document pair of class-form pairs; 0 if there are fewer."""
+        first = confirmed.select("jaccard", pair_weight().alias("pairs")).orderBy(F.desc("jaccard")).limit(n)
+        held = 0
+        for row in first.collect():
+            held += row["pairs"]
+            if held >= n:
+                return row["jaccard"]
+        return 0.0
+
     @property
     def candidates(self) -> DataFrame:
         """All candidate pairs ``(doc_a, doc_b)``."""

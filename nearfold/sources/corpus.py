@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from nearfold.sources.scratch import stage
+from nearfold.sources.scratch import stage, stage_observed
 
 BINS = 1024
+# Rows of a file that an id has room for, as a power of two; 2**23 files remain.
+ROW_BITS = 40
+# Numbered file names are broadcast up to this many bytes in memory, at so many each.
+BROADCAST_BYTES = 1 << 26
+FILE_BYTES = 512
 
 
 def spread(docs: DataFrame, partitions: int | None = None, id_col: str = "doc_id") -> DataFrame:
@@ -31,19 +36,43 @@ def load_corpus(
     """``(doc_id BIGINT, text STRING)`` from files of any Spark format.
 
     ``where`` selects a subset by the source's own columns (a category, a
-    language) and reaches the scan. Without an id column each row gets a unique
-    one from its split and position, and the result is staged, so that every
-    later read sees the same ids.
+    language) and reaches the scan. Without an id column each row of Parquet files
+    gets one from its file and its position in it (:func:`positioned`): the same
+    on every read, under any filter or split size, and nothing is copied. Other
+    formats know no positions; there ids come from split and order, and the
+    result is staged, so that every later read sees the same ones.
     """
     raw = spark.read.format(fmt).options(**options).load(path)
+    text = F.col(text_col).alias("text")
+    if id_col is None and fmt == "parquet":
+        return positioned(raw, text, where)
     if where is not None:
         raw = raw.where(where)
-    text = F.col(text_col).alias("text")
     if id_col is None:
         return stage(raw.select(F.monotonically_increasing_id().alias("doc_id"), text), "corpus")
     return raw.select(F.col(id_col).cast("bigint").alias("doc_id"), text)
 
 
+def positioned(raw: DataFrame, text: Column, where: Column | None = None) -> DataFrame:
+    """``(doc_id, text)`` of a Parquet scan: the file's number by name, then the row's place in the file.
+
+    Files are numbered over the whole folder, whatever ``where`` leaves of them;
+    only footers are read for it. A file added later leaves the ids of files of
+    lesser names as they are.
+    """
+    files = raw.select(F.col("_metadata.file_path").alias("_file")).distinct()
+    numbered = files.withColumn("_number", F.row_number().over(Window.orderBy("_file")) - 1)
+    numbered, seen = stage_observed(numbered, "files")
+    small = seen["rows"] * FILE_BYTES <= BROADCAST_BYTES
+    rows = raw if where is None else raw.where(where)
+    rows = rows.select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"), text
+    )
+    rows = rows.join(F.broadcast(numbered) if small else numbered.hint("merge"), "_file")
+    number = F.shiftleft(F.col("_number").cast("bigint"), ROW_BITS)
+    return rows.select((number + F.col("_place")).alias("doc_id"), "text")
+
+
 def prefix_cutoff(docs: DataFrame, n: int, id_col: str = "doc_id") -> int | None:
     """The n-th smallest id, or None if ``n`` is below 1 or there are no rows.
 

@@ -1,5 +1,6 @@
 import random
 import statistics
+import sys
 from itertools import combinations
 
 import pytest
@@ -277,3 +278,29 @@ def test_top_class_pairs_equal_the_first_pairs(docs):
         want = [tuple(r) for r in run.pairs.orderBy(*order).limit(n).collect()]
         got = [tuple(r) for r in top_class_pairs(run.compact, run.members, n).collect()]
         assert sorted(got) == sorted(want)
+
+
+@pytest.mark.parametrize("n", [1, 4, 25, 10_000])
+def test_best_pairs_equal_the_first_of_all(docs, confirmed, monkeypatch, n):
+    """Whatever the cut, ties at it included, and in rounds of a few candidates."""
+    monkeypatch.setattr(sys.modules["nearfold.plans.near_duplicates"], "FIRST_ROUND", 2)
+    run = NearDuplicates(docs, PARAMS)
+    found, verified = run.best(n)
+    got = [(r.doc_a, r.doc_b, r.jaccard) for r in top_class_pairs(found, run.members, n).collect()]
+    want = sorted(((-j, *p) for p, j in confirmed.items()))[:n]
+    assert sorted(got) == sorted((a, b, -j) for j, a, b in want)
+    assert verified <= run.class_candidates.count()
+
+
+def test_best_pairs_verify_fewer_candidates(spark):
+    """Ten copies and their many far relations: none of these can be among the first, and none is read."""
+    base = [f"word{i}" for i in range(60)]
+    rows = [(i, " ".join(base)) for i in range(10)]
+    rows += [(100 + i, " ".join(base + [f"w{i}x{j}" for j in range(i + 2)])) for i in range(20)]
+    run = NearDuplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), PARAMS)
+    found, verified = run.best(20)
+    assert verified == 0 and run.class_candidates.count() > 20
+    got = top_class_pairs(found, run.members, 20).collect()
+    assert [(r.doc_a, r.doc_b) for r in got] == list(combinations(range(10), 2))[:20]
+    empty = NearDuplicates(spark.createDataFrame([], "doc_id bigint, text string"), PARAMS)
+    assert empty.best(5)[0].count() == 0
