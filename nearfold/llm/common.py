@@ -13,6 +13,8 @@ from nearfold.sources.scratch import stage
 #: A list of ids is broadcast up to this many rows (16 bytes each in the hash table: 32 MB);
 #: above it the join sorts and merges.
 BROADCAST_IDS = 2_000_000
+#: Tables with lists or texts are broadcast up to this many counted bytes.
+BROADCAST_BYTES = 1 << 25
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +45,19 @@ def sized_hint(df: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df.hint("merge")
 
 
+def byte_hint(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, a staged table, hinted to broadcast if its counted bytes stay under ``limit``, else to merge."""
+
+    def width(field: T.StructField) -> Column:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.octet_length(field.name)
+        return 8 * F.size(field.name) if isinstance(field.dataType, T.ArrayType) else F.lit(0)
+
+    each = sum((F.greatest(F.coalesce(width(f), F.lit(0)), F.lit(0)) + 16 for f in df.schema), F.lit(0))
+    held = df.agg(F.sum(each.cast("bigint"))).first()[0] or 0
+    return F.broadcast(df) if held <= limit else df.hint("merge")
+
+
 def drop_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the rows whose id is in the staged table ``ids``.
 

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearfold.llm.common import drop_ids, sized_hint, whole
+from nearfold.llm.common import byte_hint, drop_ids, sized_hint, whole
 from nearfold.sources.scratch import stage
 
 #: Positions a mask looks at (1) and ignores (0). Together they hit every run of 20 tokens of which 16 or
@@ -45,6 +45,8 @@ from nearfold.sources.scratch import stage
 MASKS = ("11111", "1101011", "110010101")
 OVERLAP = 20
 IDENTITY = 0.8
+#: Alignments of a stretch and an item at this many neighbouring places are compared together.
+SHIFTS = 4096
 #: Bits of the bitmap of benchmark seeds (8 MB): a fixed size, larger benchmarks only pass more chance hits.
 BITMAP_BITS = 1 << 26
 
@@ -153,7 +155,8 @@ def leaks(
 
     items = benchmark.select(F.col(item_col).alias("item"), whole(text_col).alias("text"))
     items = items.mapInArrow(read_items, f"item {item_type}, tokens array<long>").where("size(tokens) > 0")
-    items = stage(items.withColumn("_item_row", F.monotonically_increasing_id()), "bench-items")
+    items = items.withColumns({"_item_row": F.monotonically_increasing_id(), "_width": F.size("tokens")})
+    items = stage(items, "bench-items")
     seeds = items.select("_item_row", "tokens").mapInArrow(
         item_seeds, "_item_row long, seed long, item_at int, short int"
     )
@@ -215,15 +218,16 @@ def leaks(
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {"token_start": [], "n_tokens": [], "n_equal": []}
-            for part, item, start, shift in zip(
+            for part, item, start, shifts in zip(
                 batch.column("part"), batch.column("tokens"), batch.column("start"),
-                batch.column("shift"), strict=True,
+                batch.column("shifts"), strict=True,
             ):
-                run = best_run(
-                    np.array(part.as_py(), np.int64), np.array(item.as_py(), np.int64),
-                    shift.as_py() - start.as_py(), overlap, identity,
+                begin = start.as_py()
+                run = best_of_shifts(
+                    part.values.to_numpy(), item.values.to_numpy(),
+                    shifts.values.to_numpy() - begin, overlap, identity,
                 )
-                out["token_start"].append(None if run is None else run[0] + start.as_py())
+                out["token_start"].append(None if run is None else run[0] + begin)
                 out["n_tokens"].append(None if run is None else run[1])
                 out["n_equal"].append(None if run is None else run[2])
             yield pa.RecordBatch.from_arrays(
@@ -239,15 +243,25 @@ def leaks(
     hits = stretches.select("_stretch", F.explode(F.arrays_zip("seeds", "places")).alias("hit")).select(
         "_stretch", F.col("hit.seeds").alias("seed"), F.col("hit.places").alias("place")
     )
+    # All alignments of a stretch and an item in a range of SHIFTS places are one row, and only the tokens
+    # they reach go with it: a text that repeats one word costs its length, not its square.
+    shift = F.col("place") - F.col("item_at")
     aligned = (
         hits.join(sized_hint(seeds), "seed")
-        .select("_stretch", "_item_row", (F.col("place") - F.col("item_at")).alias("shift"))
-        .distinct()
+        .groupBy("_stretch", "_item_row", F.floor(shift / SHIFTS).cast("int").alias("_range"))
+        .agg(F.collect_set(shift).alias("shifts"))
     )
+    first = F.greatest(F.lit(0), F.array_min("shifts") - F.col("start"))
+    last = F.array_max("shifts") - F.col("start") + F.col("_width")
     compared = (
-        aligned.join(stretches.select("_stretch", "id", "start", "part").hint("merge"), "_stretch")
-        .join(sized_hint(items), "_item_row")
-        .select("id", "item", "start", "shift", "part", "tokens")
+        aligned.join(sized_hint(items.select("_item_row", "_width")), "_item_row")
+        .join(stretches.select("_stretch", "id", "start", "part").hint("merge"), "_stretch")
+        .select(
+            "_item_row", "id", "shifts", (F.col("start") + first).alias("start"),
+            F.slice("part", first + 1, F.greatest(F.lit(0), last - first)).alias("part"),
+        )
+        .join(byte_hint(items.select("_item_row", "item", "tokens")), "_item_row")
+        .select("id", "item", "start", "shifts", "part", "tokens")
         .mapInArrow(compare, f"id {id_type}, item {item_type}, token_start int, n_tokens int, n_equal int")
     )
     best = F.max_by(
@@ -258,6 +272,20 @@ def leaks(
     return runs.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "_run.*")
 
 
+def best_of_shifts(
+    part: np.ndarray, item: np.ndarray, shifts: np.ndarray, overlap: int, identity: float
+) -> tuple[int, int, int] | None:
+    """Best of :func:`best_run` over ``shifts``: most equal tokens, then shortest, then first."""
+    best = None
+    for shift in np.sort(shifts).tolist():
+        run = best_run(part, item, shift, overlap, identity)
+        if run is not None and (best is None or (run[2], -run[1], -run[0]) > (best[2], -best[1], -best[0])):
+            best = run
+            if best[2] == len(item):  # the whole item, and no later one comes before it
+                break
+    return best
+
+
 def best_run(
     part: np.ndarray, item: np.ndarray, shift: int, overlap: int, identity: float
 ) -> tuple[int, int, int] | None:

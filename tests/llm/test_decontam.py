@@ -1,3 +1,4 @@
+import time
 from itertools import combinations
 
 import numpy as np
@@ -92,6 +93,30 @@ def test_run_of_equal_tokens():
     assert best_run(part[:10], item, 2, 20, 0.8) is None
 
 
+def test_repeated_tokens_cost_their_length(spark):
+    """A long text of one word against items of that word, and alignments over several ranges of places."""
+    rng = np.random.default_rng(3)
+    mixed = rng.choice(["same", "other"], 9000, p=[0.6, 0.4]).tolist()
+    item = rng.choice(["same", "other"], 40, p=[0.6, 0.4]).tolist()
+    docs = spark.createDataFrame(
+        [(1, "same " * 100_000), (2, "same " * 12), (3, " ".join(mixed)), (4, "unlike it " * 50)],
+        "doc_id long, text string",
+    )
+    items = spark.createDataFrame(
+        [(1, "same " * 30), (2, " ".join(item))], "item_id long, text string"
+    )
+    begun = time.perf_counter()
+    got = {(r.doc_id, r.item_id): (r.token_start, r.n_tokens, r.n_equal) for r in leaks(docs, items).collect()}
+    assert time.perf_counter() - begun < 30
+    assert got[1, 1] == (0, 30, 30) and not {2, 4} & {d for d, _ in got}
+    for key, words in ((1, ["same"] * 30), (2, item)):
+        code = np.array([w == "same" for w in mixed]), np.array([w == "same" for w in words])
+        runs = [best_run(*code, shift, OVERLAP, IDENTITY) for shift in range(-len(words), len(mixed))]
+        # Runs that no mask meets do not exist at this identity, so every alignment counts.
+        want = min((-e, n, s) for s, n, e in filter(None, runs))
+        assert got[3, key] == (want[2], want[1], -want[0])
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     items = docs.selectExpr("doc_id AS item_id", "text")
