@@ -34,6 +34,7 @@ table gives an empty result; other columns of the input are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -243,9 +244,9 @@ def counted_blocks(
                 block = _block(batch, i, order)
                 counts = block.training_counts()
                 part = (block.keys >> shift).astype(np.int64)
-                bounds = np.searchsorted(part, np.arange((1 << part_bits) + 1))
-                used = [p for p in range(1 << part_bits) if bounds[p] < bounds[p + 1]]
-                ranges = [slice(bounds[p], bounds[p + 1]) for p in used]
+                bounds = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)] if len(part) else [0]
+                ranges = [slice(a, b) for a, b in pairwise(bounds)]
+                used = [int(part[r.start]) for r in ranges]
                 yield pa.RecordBatch.from_pydict({
                     "part": used, "block": [batch.column("block")[i].as_py()] * len(used),
                     "keys": [pack_array(block.keys[r]) for r in ranges],
