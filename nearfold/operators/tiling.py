@@ -71,16 +71,16 @@ def pairs_of_sized(
     condition: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """:func:`pairs_within` for rows that already carry the size of their group."""
-    placed = _place(rows, id_col, tile_count(F.col(size_col), tile_rows))
+    placed = place(rows, id_col, tile_count(F.col(size_col), tile_rows))
     return _meet(placed, keys, id_col, carry, condition)
 
 
 def all_pairs(rows: DataFrame, id_col: str = "doc_id", tile_rows: int = TILE_ROWS) -> DataFrame:
     """Every pair of rows, for questions whose answer is every pair."""
-    return _meet(_place(rows, id_col, tile_count(F.lit(rows.count()), tile_rows)), (), id_col, ())
+    return _meet(place(rows, id_col, tile_count(F.lit(rows.count()), tile_rows)), (), id_col, ())
 
 
-def _place(rows: DataFrame, id_col: str, tiles: Column) -> DataFrame:
+def place(rows: DataFrame, id_col: str, tiles: Column) -> DataFrame:
     """Copy each row to every tile pair its own tile takes part in."""
     placed = rows.withColumn("_tiles", tiles).withColumn("_tile", tile_of(id_col, F.col("_tiles")))
     placed = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1)))
