@@ -62,3 +62,16 @@ def test_similar_rows_equal_plain_sets(monkeypatch, columns):
         for i in range(60) for j in range(i + 1, 60)
     }
     assert got == {p: x for p, x in want.items() if x >= 0.4}
+
+
+@pytest.mark.parametrize("block_weight", [12_000, 1 << 22])
+def test_exact_pairs_by_blocks_join_no_prefixes(docs, true_sets, monkeypatch, block_weight):
+    """Every pair once, in a few blocks and in many."""
+    from nearfold.operators import exact
+
+    monkeypatch.setattr(exact, "prefix_candidates", lambda *_: pytest.fail("prefixes are joined"))
+    blocks = exact.block_pairs
+    monkeypatch.setattr(exact, "block_pairs", lambda *given: blocks(*given, block_weight))
+    rows = exact.exact_pairs(shingle_sets(clean(docs)), 0.5).collect()
+    assert {(r.doc_a, r.doc_b): r.jaccard for r in rows} == brute.exact(true_sets, 0.5)
+    assert len(rows) == len(brute.exact(true_sets, 0.5))
