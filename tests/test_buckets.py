@@ -75,3 +75,20 @@ def test_exact_pairs_by_blocks_join_no_prefixes(docs, true_sets, monkeypatch, bl
     rows = exact.exact_pairs(shingle_sets(clean(docs)), 0.5).collect()
     assert {(r.doc_a, r.doc_b): r.jaccard for r in rows} == brute.exact(true_sets, 0.5)
     assert len(rows) == len(brute.exact(true_sets, 0.5))
+
+
+@pytest.mark.parametrize("members_held", [1 << 26, 0])
+def test_estimates_meet_in_the_bucket(docs, true_sets, monkeypatch, members_held):
+    """Signatures are joined to no list of pairs; members are broadcast, or sorted and merged."""
+    from nearfold.operators import classes, lsh, minhash_signatures
+
+    monkeypatch.setattr(lsh, "pairs_within", lambda *_, **__: pytest.fail("candidates are joined"))
+    monkeypatch.setattr(classes, "BROADCAST_BYTES", members_held)
+    signed = {i: brute.signature(s, 64) for i, s in true_sets.items()}
+    found = lsh.estimated_candidates(minhash_signatures(shingle_sets(clean(docs)), 64), 16, 4)
+    want = {
+        (a, b): sum(x == y for x, y in zip(signed[a], signed[b])) / 64
+        for a, b in brute.candidates(signed, 16, 4)
+    }
+    rows = found.collect()
+    assert {(r.doc_a, r.doc_b): r.estimate for r in rows} == want and len(rows) == len(want)
