@@ -92,3 +92,18 @@ def test_estimates_meet_in_the_bucket(docs, true_sets, monkeypatch, members_held
     }
     rows = found.collect()
     assert {(r.doc_a, r.doc_b): r.estimate for r in rows} == want and len(rows) == len(want)
+
+
+@pytest.mark.parametrize("hashes, configs", [(64, [(4, 16), (32, 2), (64, 1)]), (12, [(12, 1), (4, 3)])])
+def test_sweep_counts_without_a_list_of_pairs(docs, true_sets, monkeypatch, hashes, configs):
+    from nearfold.operators import buckets, exact_pairs, minhash_signatures, tiling
+    from nearfold.plans import param_sweep
+
+    sets = shingle_sets(clean(docs))
+    truth = exact_pairs(sets, 0.5)
+    monkeypatch.setattr(tiling, "_meet", lambda *_: pytest.fail("pairs are listed"))
+    whole = buckets.sharing_sums
+    monkeypatch.setattr("nearfold.plans.sweep.sharing_sums", lambda *given: whole(*given, 20))
+    signed = {i: brute.signature(s, hashes) for i, s in true_sets.items()}
+    rows = param_sweep(minhash_signatures(sets, hashes), truth, configs).collect()
+    assert [r.num_candidates for r in rows] == [len(brute.candidates(signed, b, r)) for b, r in configs]
