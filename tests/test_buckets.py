@@ -107,3 +107,11 @@ def test_sweep_counts_without_a_list_of_pairs(docs, true_sets, monkeypatch, hash
     signed = {i: brute.signature(s, hashes) for i, s in true_sets.items()}
     rows = param_sweep(minhash_signatures(sets, hashes), truth, configs).collect()
     assert [r.num_candidates for r in rows] == [len(brute.candidates(signed, b, r)) for b, r in configs]
+
+
+def test_verified_query_lists_no_candidates(spark, sf_small, monkeypatch):
+    import __spark_entry__ as contract
+
+    want = contract.q_near_duplicates(spark, sf_small).count()
+    monkeypatch.setattr(contract, "lsh_candidates", lambda *_: pytest.fail("candidates are listed"))
+    assert contract.q_verify_candidates(spark, sf_small).count() == want
