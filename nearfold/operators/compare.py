@@ -24,6 +24,8 @@ COMMON_SHARE = 1 / 64
 SLACK = 1e-9
 # Pairs made at once from lists of rows.
 PAIRS_AT_ONCE = 1 << 20
+# Rows that a row is compared with at once.
+ROWS_AT_ONCE = 2048
 
 
 def packed_set(shingles: Column | str) -> Column:
@@ -60,48 +62,82 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return shift + np.arange(shift.size)
 
 
+class CodedSets:
+    """Sets of rows coded by the values that occur, common values as bits."""
+
+    def __init__(self, values: np.ndarray, lengths: np.ndarray):
+        rows = lengths.size
+        row = np.repeat(np.arange(rows), lengths)
+        distinct, codes, counts = np.unique(values, return_inverse=True, return_counts=True)
+        least = max(4, int(rows * COMMON_SHARE))
+        common = np.flatnonzero(counts >= least)
+        if common.size > BIT_COLUMNS:
+            common = np.sort(common[np.argsort(-counts[common], kind="stable")[:BIT_COLUMNS]])
+        place = np.full(distinct.size, -1, dtype=np.int64)
+        place[common] = np.arange(common.size)
+        at = place[codes]
+        is_common = at >= 0
+        flags = np.zeros((rows, max(1, -(-common.size // 64)) * 64), dtype=bool)
+        flags[row[is_common], at[is_common]] = True
+        self.bits = np.packbits(flags, axis=1).view(np.uint64)
+        # Values of one row only are in no overlap.
+        other = ~is_common & (counts[codes] > 1)
+        self.rest, self.rests = codes[other], np.bincount(row[other], minlength=rows)
+        self.begin = np.cumsum(self.rests) - self.rests
+        # The rows that have each of the other values.
+        self.holders = row[other][np.argsort(self.rest, kind="stable")]
+        self.held = np.bincount(self.rest, minlength=distinct.size)
+        self.first = np.cumsum(self.held) - self.held
+        self.marked = np.zeros(distinct.size, dtype=bool)
+        self.lengths = lengths
+
+    def common(self, i: int, j: slice | np.ndarray) -> np.ndarray:
+        """Common values that row ``i`` shares with each row of ``j``."""
+        return np.bitwise_count(self.bits[j] & self.bits[i]).sum(axis=1, dtype=np.int64)
+
+    def others(self, i: int, j: np.ndarray) -> np.ndarray:
+        """Other values that row ``i`` shares with each row of ``j``."""
+        if not self.rests[i]:
+            return np.zeros(len(j), dtype=np.int64)
+        mine = self.rest[self.begin[i] : self.begin[i] + self.rests[i]]
+        held = self.held[mine]
+        if held.sum() <= self.rests[j].sum():
+            return np.bincount(self.holders[ranges(self.first[mine], held)], minlength=self.rests.size)[j]
+        self.marked[mine] = True
+        met = np.append(0, np.cumsum(self.marked[self.rest[ranges(self.begin[j], self.rests[j])]], dtype=np.int64))
+        self.marked[mine] = False
+        ends = np.cumsum(self.rests[j])
+        return met[ends] - met[ends - self.rests[j]]
+
+    def score(self, i: int, j: np.ndarray, overlap: np.ndarray) -> np.ndarray:
+        return overlap / np.maximum(self.lengths[j] + self.lengths[i] - overlap, 1)
+
+
 def similar_rows(
     values: np.ndarray, lengths: np.ndarray, first: np.ndarray, last: np.ndarray, threshold: float
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(i, j, jaccard)`` of rows i and j of ``first[i] <= j < last[i]`` that reach ``threshold > 0``."""
-    rows = lengths.size
-    row = np.repeat(np.arange(rows), lengths)
-    distinct, codes, counts = np.unique(values, return_inverse=True, return_counts=True)
-    least = max(4, int(rows * COMMON_SHARE))
-    common = np.flatnonzero(counts >= least)
-    if common.size > BIT_COLUMNS:
-        common = np.sort(common[np.argsort(-counts[common], kind="stable")[:BIT_COLUMNS]])
-    place = np.full(distinct.size, -1, dtype=np.int64)
-    place[common] = np.arange(common.size)
-    at = place[codes]
-    is_common = at >= 0
-    flags = np.zeros((rows, max(1, -(-common.size // 64)) * 64), dtype=bool)
-    flags[row[is_common], at[is_common]] = True
-    bits = np.packbits(flags, axis=1).view(np.uint64)
-    del flags
-    # Values of one row only are in no overlap.
-    other = ~is_common & (counts[codes] > 1)
-    rest, rests = codes[other], np.bincount(row[other], minlength=rows)
-    begin = np.cumsum(rests) - rests
-    marked = np.zeros(distinct.size, dtype=bool)
+    sets = CodedSets(values, lengths)
     share = threshold / (1 + threshold)
     for i in np.flatnonzero(last > first):
         lo, hi = first[i], last[i]
-        overlap = np.bitwise_count(bits[lo:hi] & bits[i]).sum(axis=1, dtype=np.int64)
+        overlap = sets.common(i, slice(lo, hi))
         needed = (lengths[lo:hi] + lengths[i]) * share - SLACK
-        j = lo + np.flatnonzero(overlap + np.minimum(rests[lo:hi], rests[i]) >= needed)
+        j = lo + np.flatnonzero(overlap + np.minimum(sets.rests[lo:hi], sets.rests[i]) >= needed)
         if not j.size:
             continue
-        overlap = overlap[j - lo]
-        if rests[i]:
-            mine = rest[begin[i] : begin[i] + rests[i]]
-            marked[mine] = True
-            met = np.append(0, np.cumsum(marked[rest[ranges(begin[j], rests[j])]], dtype=np.int64))
-            ends = np.cumsum(rests[j])
-            overlap = overlap + met[ends] - met[ends - rests[j]]
-            marked[mine] = False
-        joined = lengths[j] + lengths[i] - overlap
-        score = overlap / np.maximum(joined, 1)
+        score = sets.score(i, j, overlap[j - lo] + sets.others(i, j))
         kept = score >= threshold
         if kept.any():
             yield np.full(int(kept.sum()), i), j[kept], score[kept]
+
+
+def row_scores(sets: CodedSets, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Jaccard similarity of the rows ``i`` and ``j``, pair by pair; ``i`` ascends."""
+    scores = np.zeros(len(i))
+    heads = np.flatnonzero(np.diff(i, prepend=-1))
+    for lo, hi in zip(heads, np.append(heads[1:], len(i))):
+        for at in range(lo, hi, ROWS_AT_ONCE):
+            run = slice(at, min(at + ROWS_AT_ONCE, hi))
+            scores[run] = sets.score(i[lo], j[run], sets.common(i[lo], j[run]) + sets.others(i[lo], j[run]))
+    return scores

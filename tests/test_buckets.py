@@ -115,3 +115,25 @@ def test_verified_query_lists_no_candidates(spark, sf_small, monkeypatch):
     want = contract.q_near_duplicates(spark, sf_small).count()
     monkeypatch.setattr(contract, "lsh_candidates", lambda *_: pytest.fail("candidates are listed"))
     assert contract.q_verify_candidates(spark, sf_small).count() == want
+
+
+@pytest.mark.parametrize("tile_rows", [2, 2048])
+def test_every_candidate_is_scored_in_its_bucket(docs, true_sets, monkeypatch, tile_rows):
+    """Candidates below the threshold too; none is listed and joined with its sets."""
+    plan = sys.modules["nearfold.plans.near_duplicates"]
+    monkeypatch.setattr(plan, "class_candidates", lambda *_: pytest.fail("candidates are listed"))
+    monkeypatch.setattr(plan, "attach_jaccard", lambda *_: pytest.fail("sets are sent to pairs"))
+    monkeypatch.setattr(plan, "SET_TILE_ROWS", tile_rows)
+    found = brute.candidates({i: brute.signature(s, 64) for i, s in true_sets.items()}, 16, 4)
+    want = {p: brute.jaccard(true_sets[p[0]], true_sets[p[1]]) for p in found}
+    rows = NearDuplicates(docs, PARAMS).scored.collect()
+    assert {(r.doc_a, r.doc_b): r.jaccard for r in rows} == want and len(rows) == len(want)
+    assert min(want.values()) < 0.5
+
+
+def test_scoring_query_joins_no_list(spark, sf_small, monkeypatch):
+    import __spark_entry__ as contract
+
+    want = contract.candidates(spark, sf_small).count()
+    monkeypatch.setattr(contract, "lsh_candidates", lambda *_: pytest.fail("candidates are listed"))
+    assert contract.q_true_jaccard(spark, sf_small).count() == want
