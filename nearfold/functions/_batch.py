@@ -172,7 +172,14 @@ def exact_hash(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def minhash_rows(values: np.ndarray, lengths: np.ndarray, family: list[tuple[int, int]]) -> np.ndarray:
-    """Signature matrix: row minima of ``(a*x + b) mod (2**61 - 1)``.
+    """Signature matrix: row minima of ``(a*x + b) mod (2**61 - 1)``."""
+    return least_hashes(values, lengths, family)[0]
+
+
+def least_hashes(
+    values: np.ndarray, lengths: np.ndarray, family: list[tuple[int, int]]
+) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`minhash_rows`, and the places in their rows of the values with these minima.
 
     Only the least value of a row is needed exactly. As a fraction of 2**64 a
     hash is ``x*A + B`` in wrapping 64-bit arithmetic up to ``BLUR``, with A and
@@ -188,6 +195,8 @@ def minhash_rows(values: np.ndarray, lengths: np.ndarray, family: list[tuple[int
         for _, c in family
     ]
     out = np.full((lengths.size, len(family)), MERSENNE_61, dtype=np.uint64)
+    places = np.zeros(out.shape, dtype=np.int32)
+    begin = np.cumsum(lengths) - lengths
     row = np.repeat(np.arange(lengths.size), lengths)
     place = np.arange(SLICE, dtype=np.uint64)
     last = np.uint64(2**64 - 1)
@@ -216,7 +225,13 @@ def minhash_rows(values: np.ndarray, lengths: np.ndarray, family: list[tuple[int
             sizes = ends[part] - cuts[part]
             whole = np.concatenate([x[cuts[p] : ends[p]] for p in part])
             each = exact_hash(whole, np.repeat(a[i], sizes), np.repeat(b[i], sizes))
-            exact[i, part] = np.minimum.reduceat(each, np.cumsum(sizes) - sizes)
+            heads = np.cumsum(sizes) - sizes
+            exact[i, part] = np.minimum.reduceat(each, heads)
+            hits = np.flatnonzero(each == np.repeat(exact[i, part], sizes))[::-1]  # the first is set last
+            of = np.repeat(np.arange(sizes.size), sizes)[hits]
+            found[i[of], part[of]] = cuts[part[of]] + hits - heads[of]
         target = rows[cuts]
-        out[target] = np.minimum(out[target], exact.T)
-    return out.astype(np.int64)
+        less = exact.T < out[target]
+        places[target] = np.where(less, found.T + (at - begin[target])[:, None], places[target])
+        out[target] = np.where(less, exact.T, out[target])
+    return out.astype(np.int64), places

@@ -304,3 +304,35 @@ def test_best_pairs_verify_fewer_candidates(spark):
     assert [(r.doc_a, r.doc_b) for r in got] == list(combinations(range(10), 2))[:20]
     empty = NearDuplicates(spark.createDataFrame([], "doc_id bigint, text string"), PARAMS)
     assert empty.best(5)[0].count() == 0
+
+
+def test_estimates_send_no_sets(spark, docs, true_sets, monkeypatch):
+    """One value a pair and length, in many blocks, long sets and unknown ids included."""
+    from nearfold.plans import estimator
+
+    for name in ("attach_jaccard", "minhash_signature"):
+        monkeypatch.setattr(estimator, name, lambda *_, **__: pytest.fail("sets are sent"), raising=False)
+    monkeypatch.setattr(estimator, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(estimator, "ROWS_AT_ONCE", 7)
+    draw = random.Random(1)
+    raw = {i: "".join(draw.choice("abcdefgh ") for _ in range(90_000)) for i in (900, 901)}
+    sets = {i: brute.shingles(t, 5) for i, t in raw.items()} | true_sets
+    assert len(sets[900]) <= 1 << 16
+    raw[902], raw[903] = raw[900] + "".join(map(chr, range(0x4E00, 0x9000))) * 3, raw[900][:50_000]
+    raw[902] += "".join(draw.choice("ijklmnopqrstuvwxyz") for _ in range(70_000))
+    sets |= {i: brute.shingles(raw[i], 5) for i in (902, 903)}
+    assert len(sets[902]) > 1 << 16
+    more = clean(docs).union(spark.createDataFrame(list(raw.items()), "doc_id bigint, text string"))
+    ids = sorted(true_sets)[:12]
+    listed = [(a, b) for a in ids for b in ids if a != b] + [(900, 901), (902, 900), (902, 903), (903, ids[0])]
+    pairs = spark.createDataFrame(
+        [(i, a, b) for i, (a, b) in enumerate(listed)] + [(-1, ids[0], 10**9), (-2, -5, 900)],
+        "draw bigint, doc_a bigint, doc_b bigint",
+    )
+    rows = pair_estimates(more, pairs, [4, 16]).collect()
+    signed = {i: brute.signature(sets[i], 16) for i in {i for pair in listed for i in pair}}
+    want = {
+        (i, n): (brute.jaccard(sets[a], sets[b]), sum(x == y for x, y in zip(signed[a][:n], signed[b][:n])) / n)
+        for i, (a, b) in enumerate(listed) for n in (4, 16)
+    }
+    assert {(r.draw, r.n): (r.jaccard, r.estimate) for r in rows} == want and len(rows) == len(want)
