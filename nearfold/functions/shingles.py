@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
@@ -9,6 +11,9 @@ from pyspark.sql import functions as F
 
 from nearfold.functions._batch import shingle_rows
 
+# Bytes of text that are cut into sets at once; a longer text is taken by itself.
+SLICE_BYTES = 1 << 20
+
 
 def shingle_hash(text: Column | str) -> Column:
     """31-bit hash of a whole string: first four MD5 bytes, little-endian.
@@ -47,6 +52,38 @@ def shingle_batch_rows(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]
     return shingle_rows(np.frombuffer(data or b"", dtype=np.uint8), offsets, k)
 
 
+def row_slices(texts: pa.Array) -> Iterator[slice]:
+    """Runs of rows of about ``SLICE_BYTES`` of an Arrow string array, in order."""
+    ends = np.frombuffer(texts.cast(pa.binary()).buffers()[1], dtype=np.int32)
+    ends = ends[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    lo = 0
+    while lo < len(texts):
+        hi = int(np.searchsorted(ends, ends[lo] + SLICE_BYTES, side="right")) - 1
+        hi = min(max(hi, lo + 1), len(texts))
+        yield slice(lo, hi)
+        lo = hi
+
+
+def in_slices(
+    work: Callable[[pa.Array], pa.Array], name: str
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Function for ``mapInArrow``: ``(doc_id, text)`` to ``(doc_id, name)``, a slice of texts at a time.
+
+    Sets are larger than texts, so a batch's sets are never held together: what a
+    task holds is one batch of texts and the sets of one slice.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column("doc_id"), batch.column("text")
+            for part in row_slices(texts) if len(texts) else ():
+                rows = part.stop - part.start
+                columns = [ids.slice(part.start, rows), work(texts.slice(part.start, rows))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", name])
+
+    return run
+
+
 def list_array(lengths: np.ndarray, values: np.ndarray) -> pa.Array:
     """Arrow list array from row lengths and flat values."""
     ends = np.append(0, np.cumsum(lengths)).astype(np.int32)

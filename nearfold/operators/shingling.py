@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nearfold.functions import char_shingles
+from nearfold.functions.shingles import in_slices, list_array, shingle_batch_rows
 
 
 def shingle_sets(docs: DataFrame, k: int = 5, text_col: str = "text") -> DataFrame:
@@ -19,5 +20,10 @@ def shingle_sets(docs: DataFrame, k: int = 5, text_col: str = "text") -> DataFra
 
 def shingle_table(docs: DataFrame, k: int = 5, text_col: str = "text") -> DataFrame:
     """Long form ``(doc_id, shingle)``, distinct within a document by construction."""
-    sets = docs.select("doc_id", F.explode(char_shingles(text_col, k)).alias("shingle"))
+    if k < 1:
+        raise ValueError(f"shingle size must be at least 1, got {k}")
+    texts = docs.select("doc_id", F.coalesce(text_col, F.lit("")).alias("text"))
+    cut = in_slices(lambda part: list_array(*shingle_batch_rows(part, k)), "shingles")
+    packed = texts.mapInArrow(cut, f"doc_id {dict(texts.dtypes)['doc_id']}, shingles array<int>")
+    sets = packed.select("doc_id", F.explode("shingles").alias("shingle"))
     return sets.select("doc_id", F.col("shingle").cast("bigint").alias("shingle"))

@@ -406,3 +406,15 @@ def test_sample_pairs_dense_and_sparse(spark):
     assert len({x for x, _ in a.values()}) == 50
     with pytest.raises(ValueError):
         sample_pairs(dense.limit(1), 5)
+
+
+def test_shingle_table_in_slices(docs, true_sets, monkeypatch):
+    """Sets of a few bytes of text at a time give the same rows; NULL counts as empty."""
+    from nearfold.functions import shingles
+
+    monkeypatch.setattr("nearfold.operators.shingling.char_shingles", lambda *_: pytest.fail("a batch's sets are held"))
+    monkeypatch.setattr(shingles, "SLICE_BYTES", 100)
+    more = docs.union(docs.sparkSession.createDataFrame([(10**6, None)], docs.schema))
+    rows = [(r.doc_id, r.shingle) for r in shingle_table(more, 5).collect()]
+    want = {(i, x) for i, s in true_sets.items() for x in s} | {(10**6, x) for x in brute.shingles("", 5)}
+    assert set(rows) == want and len(rows) == len(want)
