@@ -197,3 +197,21 @@ def test_functions_on_a_stream(spark, tmp_path):
     got = {r.doc_id: r.sketch.signature for r in spark.read.parquet(sink).collect()}
     want = {i: brute.signature(brute.shingles(brute.normalize(t), 5), 8) for i, t in rows}
     assert got == want
+
+
+@pytest.mark.parametrize("slice_bytes", [1, 300, 1 << 20])
+def test_sets_of_a_batch_are_never_held_together(monkeypatch, slice_bytes):
+    import pyarrow as pa
+
+    from nearfold.functions import shingles
+    from nearfold.functions.minhash import signature_slice
+
+    monkeypatch.setattr(shingles, "SLICE_BYTES", slice_bytes)
+    texts = ["", "x" * 900, *brute.corpus(20, 3), "caf\u00e9"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(-1, len(texts))), "text": ["cut off", *texts]}).slice(1)
+    rows = []
+    for part in shingles.in_slices(signature_slice(5, 8, 42), "signature")(iter([batch, batch.slice(0, 0)])):
+        held = [len(texts[i].encode()) for i in part["doc_id"].to_pylist()]
+        assert sum(held) <= slice_bytes or len(held) == 1
+        rows += zip(part["doc_id"].to_pylist(), part["signature"].to_pylist())
+    assert rows == [(i, list(brute.signature(brute.shingles(t, 5), 8))) for i, t in enumerate(texts)]
