@@ -14,7 +14,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Columns of bits at most, and the part of all rows that has a value at least.
@@ -26,34 +27,150 @@ SLACK = 1e-9
 PAIRS_AT_ONCE = 1 << 20
 # Rows that a row is compared with at once.
 ROWS_AT_ONCE = 2048
+# Codes of a codebook at most, and sets it is counted over, more or less. A code is two bytes.
+BOOK_CODES = 1 << 16
+BOOK_SETS = 1 << 12
+# Bits of a code or of a value behind the codes, values packed and rows unpacked at once, and the byte for a
+# gap that takes two more.
+CODE_BITS = 32
+VALUES_AT_ONCE = 1 << 20
+ROWS_UNPACKED = 512
+ESCAPE = 255
 
 
-def packed_set(shingles: Column | str) -> Column:
-    """``binary`` of a sorted ``array<int>``: its gaps, byte plane by byte plane.
+def set_codebook(sets: DataFrame, count: int | None = None) -> Broadcast[np.ndarray]:
+    """Frequent shingles of ``sets``, broadcast: the place of one is its code in :func:`packed_set`.
 
-    Gaps are small, so their leading planes compress in a shuffle.
+    They are counted over some ``BOOK_SETS`` sets drawn by id hash, as whole sets.
+    Any codebook gives back the same sets; a fitting one makes them short. Codes
+    ascend from frequent to rare by powers of two, and at equal power by the
+    marked sets that hold a shingle: those that occur together lie close.
+    """
+    count = sets.count() if count is None else count
+    drawn = sets.where(F.pmod(F.xxhash64(F.lit("book"), "doc_id"), F.lit(max(1, count // BOOK_SETS))) == 0)
+    place = F.xxhash64(F.lit("mark"), "doc_id")
+    # One set in 64 is marked, each by a bit.
+    mark = F.when(F.pmod(place, F.lit(64)) == 0, F.expr("shiftleft(1L, cast(pmod(xxhash64('bit', doc_id), 64) as int))"))
+    held = drawn.select(mark.alias("mark"), F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("sets"), F.coalesce(F.bit_or("mark"), F.lit(0)).alias("marks")
+    )
+    top = held.orderBy(F.desc("sets"), "shingle").limit(BOOK_CODES)
+    ordered = top.toArrow()
+    power = np.floor(np.log2(np.maximum(ordered["sets"].to_numpy(), 1)))
+    marks = ~ordered["marks"].to_numpy().view(np.uint64)
+    order = np.lexsort((ordered["shingle"].to_numpy(), marks, -power))
+    book = ordered["shingle"].to_numpy()[order].astype(np.int32)
+    return sets.sparkSession.sparkContext.broadcast(book)
+
+
+def packed_set(shingles: Column | str, book: Broadcast[np.ndarray] | None = None) -> Column:
+    """``binary`` of an ``array<int>`` of distinct shingles, the same for equal sets.
+
+    Shingles of the codebook become codes, the others follow by value. Gaps of
+    either are small numbers, most of them a byte, and compressed. Without a
+    codebook the values come back, with one other numbers that are equal where
+    the values are.
     """
 
     @F.arrow_udf("binary")
     def pack(sets: pa.Array) -> pa.Array:
+        coded = Coder(np.zeros(0, np.int32) if book is None else book.value)
         lengths = pc.fill_null(pc.list_value_length(sets), 0).to_numpy(zero_copy_only=False)
         values = sets.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
         ends = np.append(0, np.cumsum(lengths))
-        gaps = np.diff(values, prepend=np.int32(0))
-        heads = ends[:-1][lengths > 0]
-        gaps[heads] = values[heads]
-        planes = gaps.astype("<i4").view(np.uint8).reshape(-1, 4)
-        return pa.array([planes[lo:hi].T.tobytes() for lo, hi in zip(ends[:-1], ends[1:])], pa.binary())
+        packed, lo = [], 0
+        while lo < len(lengths):
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + VALUES_AT_ONCE, side="right")) - 1)
+            packed += coded.pack(values[ends[lo] : ends[hi]], lengths[lo:hi])
+            lo = hi
+        return pa.array(packed, pa.binary())
 
     return pack(F.col(shingles) if isinstance(shingles, str) else shingles)
 
 
+class Coder:
+    """Packs sets by the codes of one codebook."""
+
+    def __init__(self, book: np.ndarray):
+        self.codes = np.argsort(book, kind="stable")
+        self.values = book[self.codes]
+        self.zip = pa.Codec("zstd", compression_level=1)
+
+    def pack(self, values: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+        size, row = len(self.values), np.repeat(np.arange(lengths.size), lengths)
+        codes = values.astype(np.int64) + size
+        if size:
+            at = np.minimum(np.searchsorted(self.values, values), size - 1)
+            codes = np.where(self.values[at] == values, self.codes[at], codes)
+        # Rows stay where they are; codes ascend in each.
+        codes = np.sort((row << CODE_BITS) | codes) & ((1 << CODE_BITS) - 1)
+        head = np.diff(row, prepend=-1) > 0
+        listed = codes < size
+        # The other values start anew behind the codes of a row.
+        turn = ~listed & (head | np.append(False, listed[:-1]))
+        gaps = np.diff(codes, prepend=0)
+        gaps[head & listed] = codes[head & listed] + 1
+        gaps[turn] = codes[turn] - size
+        short = gaps[listed] - 1
+        long = short >= ESCAPE
+        ends = [
+            np.append(0, np.cumsum(np.bincount(row[which], minlength=lengths.size)))
+            for which in (listed, np.flatnonzero(listed)[long], ~listed)
+        ]
+        parts = [
+            np.minimum(short, ESCAPE).astype(np.uint8), short[long].astype("<u2"),
+            gaps[~listed].astype("<i4").view(np.uint8).reshape(-1, 4),
+        ]
+        heads = np.stack([*(np.diff(e) for e in ends), np.full(lengths.size, size)], axis=1).astype("<u4")
+        packed = []
+        for i in range(lengths.size):
+            codes, escaped, rest = (part[e[i] : e[i + 1]] for part, e in zip(parts, ends))
+            held = codes.tobytes() + escaped.tobytes() + rest.T.tobytes()
+            packed.append(heads[i].tobytes() + self.zip.compress(held, asbytes=True))
+        return packed
+
+
 def unpacked_sets(packed: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Flat values and row lengths of :func:`packed_set` binaries."""
-    parts = [np.frombuffer(b or b"", np.uint8) for b in packed.to_pylist()]
-    sets = [np.cumsum(np.ascontiguousarray(p.reshape(4, -1).T).view("<i4").ravel(), dtype=np.int32) for p in parts]
-    lengths = np.array([s.size for s in sets], dtype=np.int64)
-    return (np.concatenate(sets) if sets else np.zeros(0, np.int32)), lengths
+    """Flat numbers, ascending in each row, and row lengths of :func:`packed_set` binaries of one codebook."""
+    runs = [_unpacked_rows(packed.slice(lo, ROWS_UNPACKED).to_pylist()) for lo in range(0, len(packed), ROWS_UNPACKED)]
+    if not runs:
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    return np.concatenate([values for values, _ in runs]), np.concatenate([lengths for _, lengths in runs])
+
+
+def _unpacked_rows(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    unzip = pa.Codec("zstd")
+    heads = np.zeros((len(packed), 4), dtype=np.int64)
+    parts: tuple[list, list, list] = ([], [], [])
+    for i, row in enumerate(packed):
+        if not row:
+            continue
+        heads[i] = np.frombuffer(row, "<u4", 4)
+        codes, escaped, rest, _ = heads[i].tolist()
+        if codes + rest:
+            held = unzip.decompress(row[16:], codes + 2 * escaped + 4 * rest, asbytes=True)
+            parts[0].append(np.frombuffer(held, np.uint8, codes))
+            parts[1].append(np.frombuffer(held, "<u2", escaped, codes))
+            planes = np.frombuffer(held, np.uint8, 4 * rest, codes + 2 * escaped).reshape(4, -1)
+            parts[2].append(np.ascontiguousarray(planes.T).view("<i4").ravel())
+    short, escaped, rest = (
+        np.concatenate(part) if part else np.zeros(0, np.int64) for part in parts
+    )
+    listed, _, others, size = heads.T
+    gaps = short.astype(np.int64) + 1
+    gaps[short == ESCAPE] = escaped.astype(np.int64) + 1
+    lengths = listed + others
+    begin = np.cumsum(lengths) - lengths
+    out = np.empty(int(lengths.sum()), dtype=np.uint32)
+    out[ranges(begin, listed)] = _summed(gaps, listed) - 1
+    out[ranges(begin + listed, others)] = _summed(rest.astype(np.int64), others) + np.repeat(size, others)
+    return out, lengths
+
+
+def _summed(gaps: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Running sums of ``gaps`` that start anew in each row."""
+    total = np.append(0, np.cumsum(gaps))
+    return total[1:] - np.repeat(total[np.cumsum(lengths) - lengths], lengths)
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
