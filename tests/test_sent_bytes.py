@@ -62,3 +62,25 @@ def test_a_poor_codebook_gives_the_same_pairs(docs, true_sets, monkeypatch, code
     assert 0 < len(run.codebook.value) <= codes
     assert {(r.doc_a, r.doc_b): r.jaccard for r in run.scored.collect()} == want
     assert {(r.doc_a, r.doc_b): r.jaccard for r in run.pairs.collect()} == {p: j for p, j in want.items() if j >= 0.5}
+
+
+@pytest.mark.parametrize("weight", [2_000, 12_000, 1 << 25])
+def test_exact_pairs_stage_and_send_codes_only(docs, true_sets, monkeypatch, weight):
+    """No table of plain sets is staged; every pair comes once, whatever the blocks."""
+    from nearfold.operators import exact
+
+    staged, whole, blocks = {}, exact.stage, exact.block_pairs
+
+    def watched(df, name):
+        staged[name] = whole(df, name)
+        return staged[name]
+
+    monkeypatch.setattr(exact, "stage", watched)
+    monkeypatch.setattr(exact, "LEAST_WEIGHT", 1)
+    monkeypatch.setattr(exact, "block_pairs", lambda *given: blocks(*given, weight))
+    rows = exact.exact_pairs(shingle_sets(clean(docs)), 0.5).collect()
+    want = brute.exact(true_sets, 0.5)
+    assert {(r.doc_a, r.doc_b): r.jaccard for r in rows} == want and len(rows) == len(want)
+    assert not [kind for table in staged.values() for _, kind in table.dtypes if kind.startswith("array")]
+    held, shingles = staged["sets"].agg(F.sum(F.length("packed")), F.sum("n_shingles")).first()
+    assert held < 2 * shingles
