@@ -84,3 +84,57 @@ def test_exact_pairs_stage_and_send_codes_only(docs, true_sets, monkeypatch, wei
     assert not [kind for table in staged.values() for _, kind in table.dtypes if kind.startswith("array")]
     held, shingles = staged["sets"].agg(F.sum(F.length("packed")), F.sum("n_shingles")).first()
     assert held < 2 * shingles
+
+
+def test_sweep_joins_no_signatures_to_pairs(spark, docs, true_sets, monkeypatch):
+    """True pairs are kept as ids; one of a document without a signature is no hit, one of equal signatures is."""
+    from nearfold.operators import minhash_signatures
+    from nearfold.plans import sweep
+
+    staged, whole = {}, sweep.stage
+
+    def watched(df, name):
+        staged[name] = whole(df, name)
+        return staged[name]
+
+    monkeypatch.setattr(sweep, "stage", watched)
+    want = brute.exact(true_sets, 0.5)
+    truth = spark.createDataFrame([*want, (3, 1_000_000)], "doc_a bigint, doc_b bigint")
+    signed = {i: brute.signature(s, 64) for i, s in true_sets.items()}
+    configs = [(4, 16), (32, 2)]
+    rows = sweep.param_sweep(minhash_signatures(shingle_sets(clean(docs)), 64), truth, configs).collect()
+    for row, (b, r) in zip(rows, configs):
+        found = brute.candidates(signed, b, r)
+        assert row.num_candidates == len(found) and row.num_ground_truth == len(want) + 1
+        assert row.recall == round(len(set(want) & set(found)) / (len(want) + 1), 4)
+    assert not [kind for _, kind in staged["truth"].dtypes if kind.startswith("array")]
+
+
+def test_prefixes_are_counted_in_buckets(docs, true_sets, monkeypatch):
+    from nearfold.operators import lsh
+    from nearfold.plans import scalability_counts
+
+    monkeypatch.setattr(lsh, "pairs_within", lambda *_, **__: pytest.fail("candidates are joined"))
+    found = brute.candidates({i: brute.signature(s, 64) for i, s in true_sets.items()}, 16, 4)
+    rows = scalability_counts(docs, (0.5, 1.0), PARAMS).where("method = 'lsh'").collect()
+    ids = sorted(true_sets)
+    assert {r.num_docs: r.num_pairs_found for r in rows} == {
+        n: sum(b <= ids[n - 1] for _, b in found) for n in (len(ids) // 2, len(ids))
+    }
+
+
+def test_pairs_are_compared_packed(spark, monkeypatch):
+    """Pairs in several runs, repeated ones too; six bytes a pair at most where a join sends sixteen and more."""
+    from nearfold.operators import evaluate, pair_metrics
+
+    monkeypatch.setattr(evaluate, "PAIRS_PACKED", 1 << 14)
+    draw = np.random.default_rng(5)
+    some = {(int(a), int(b)) for a, b in draw.integers(-500, 3000, (40_000, 2)) if a < b}
+    true = {p for p in some if sum(p) % 3 == 0} | {(2**40, 2**41)}
+    schema = "doc_a bigint, doc_b bigint"
+    listed = spark.createDataFrame([*some, *list(some)[:900]], schema).repartition(2)
+    row = pair_metrics(listed, spark.createDataFrame(list(true), schema)).first()
+    assert (row.num_candidates, row.num_ground_truth, row.num_hits) == (len(some), len(true), len(true) - 1)
+    a, b = (np.array(side) for side in zip(*some))
+    batch = pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["doc_a", "doc_b"])
+    assert sum(out.nbytes for out in evaluate.packed_pairs(iter([batch]), False)) < 6 * len(some)
