@@ -8,8 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nearfold.operators.buckets import bucket_rows, candidate_sums
 from nearfold.operators.exact import exact_pairs
-from nearfold.operators.lsh import class_candidates
 from nearfold.operators.shingling import shingle_sets
 from nearfold.params import Params
 from nearfold.plans.near_duplicates import NearDuplicates, clean
@@ -39,22 +39,22 @@ def count_candidates(sketches: DataFrame, lasts: Sequence[int]) -> DataFrame:
     """One row ``counts array<bigint>``: candidate pairs in each prefix that ends at one of ``lasts``.
 
     Whether two texts share a band does not depend on the prefix, so the texts
-    of the whole corpus are joined once. A class carries the number of its
+    of the whole corpus meet once, in their buckets. A class carries the number of its
     documents in every prefix, and a pair of classes stands for the product of
     the two numbers.
     """
-    held = F.array(*[F.count_if(F.col("doc_id") <= last) for last in lasts])
+    held = [F.count_if(F.col("doc_id") <= last).alias(f"held{i}") for i, last in enumerate(lasts)]
     classes = sketches.groupBy("text_key").agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("docs"),
-        F.first("band_keys").alias("band_keys"), held.alias("held"),
+        F.first("band_keys").alias("band_keys"), *held,
     )
     classes = stage(classes, "prefix-classes")
-    across = F.zip_with("held_a", "held_b", lambda x, y: x * y)
-    within = F.transform("held", lambda n: F.floor(n * (n - 1) / 2))
-    weights = class_candidates(classes, ["held"]).select(across.alias("w"))
-    weights = weights.unionByName(classes.where("docs > 1").select(within.alias("w")))
-    sums = [F.coalesce(F.sum(F.get("w", F.lit(i))), F.lit(0)) for i in range(len(lasts))]
-    return weights.agg(F.array(*sums).alias("counts"))
+    names = [f"held{i}" for i in range(len(lasts))]
+    sums = candidate_sums(bucket_rows(classes, names), names)
+    within = [F.expr(f"{name} * ({name} - 1) div 2").alias(f"w{i}") for i, name in enumerate(names)]
+    sums = sums.unionByName(classes.where("docs > 1").select(*within))
+    totals = [F.coalesce(F.sum(f"w{i}"), F.lit(0)) for i in range(len(lasts))]
+    return sums.agg(F.array(*totals).alias("counts"))
 
 
 def scalability_counts(
