@@ -138,3 +138,21 @@ def test_pairs_are_compared_packed(spark, monkeypatch):
     a, b = (np.array(side) for side in zip(*some))
     batch = pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["doc_a", "doc_b"])
     assert sum(out.nbytes for out in evaluate.packed_pairs(iter([batch]), False)) < 6 * len(some)
+
+
+def test_signatures_go_to_buckets_without_keys(docs, true_sets, monkeypatch):
+    """Of several bands that two rows share, the first alone counts, with keys made from the signatures."""
+    from nearfold.operators import lsh, minhash_signatures
+
+    sent, whole = [], lsh.listed_candidates
+
+    def watched(rows, *given):
+        sent.append(rows.columns)
+        return whole(rows, *given)
+
+    monkeypatch.setattr(lsh, "listed_candidates", watched)
+    signed = {i: brute.signature(s, 64) for i, s in true_sets.items()}
+    rows = lsh.estimated_candidates(minhash_signatures(shingle_sets(clean(docs)), 64), 32, 2).collect()
+    found = brute.candidates(signed, 32, 2)
+    assert {(r.doc_a, r.doc_b) for r in rows} == set(found) and len(rows) == len(found)
+    assert "signature" in sent[0] and "band_keys" not in sent[0]
